@@ -1,17 +1,16 @@
 """Exact distribution functions of many columns at once, without one task per column.
 
 Values are first counted per (column, value), which combines map-side. The distinct values
-of a column are then cut into ranges of about equal weight, and cumulative counts come from
+of a column are then cut into ranges of about equal size, and cumulative counts come from
 range totals plus a running sum inside each range.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.lookups import attach
+from tickloom.session import materialize
 
 RANGES = 256
 
@@ -36,27 +35,24 @@ def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
                ranges: int = RANGES) -> DataFrame:
     """Add `cum_<counter>` (at or below the value), `all_<counter>` and `next_value`.
 
-    The cut points are one short array per column, so their size is bounded by the width
-    of the table; with `by` groups it is checked.
+    The counts are read three times and kept once. The cut points are one short array per
+    column, so their size is bounded by the width of the table; with `by` groups it is
+    checked.
     """
     series = [*by, "column"]
-    weight = reduce(lambda a, b: a + b, [F.col(c) for c in counters])
+    counts = materialize(counts)
     shares = [i / ranges for i in range(1, ranges)]
     cuts = counts.groupBy(*series).agg(
-        F.array_distinct(F.percentile_approx("value", shares, ranges * 20, weight)).alias("_cuts"))
-    # Position in the sorted cuts by halving: 8 looks instead of 255.
-    spot = F.lit(0)
+        F.array_distinct(F.percentile_approx("value", shares, ranges * 20)).alias("_cuts"))
     tagged = attach(counts, cuts, series, "inner") if by else counts.join(F.broadcast(cuts), series)
-    tagged = tagged.withColumn("_size", F.size("_cuts"))
-    step = ranges // 2
-    while step:
-        probe = spot + F.lit(step)
-        tagged = tagged.withColumn("_spot", F.when(
-            (probe <= F.col("_size")) & (F.get(F.col("_cuts"), probe - 1) <= F.col("value")), probe
-        ).otherwise(spot))
-        spot = F.col("_spot")
-        step //= 2
-    tagged = tagged.withColumnRenamed("_spot", "_range").drop("_cuts", "_size")
+    halves = F.array(*[F.lit(ranges >> i) for i in range(1, ranges.bit_length())])
+
+    def closer(spot: Column, half: Column) -> Column:
+        """Halving search for the number of cuts at or below the value."""
+        fits = (spot + half <= F.size("_cuts")) & (F.get("_cuts", spot + half - 1) <= F.col("value"))
+        return F.when(fits, spot + half).otherwise(spot)
+
+    tagged = tagged.withColumn("_range", F.aggregate(halves, F.lit(0), closer)).drop("_cuts")
     along = Window.partitionBy(*series).orderBy("_range")
     totals = (
         tagged.groupBy(*series, "_range")

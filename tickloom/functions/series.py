@@ -136,62 +136,59 @@ def scan_rows(decays: list[float], longest_need: int) -> int:
     return rows
 
 
-def affine_scan(df: DataFrame, keys: list[str], steps: dict[str, tuple[float, Column]],
+def affine_scan(df: DataFrame, keys: list[str], steps: dict[str, tuple[float, str]],
                 position: str = "rn", rows: int = SCAN_ROWS) -> DataFrame:
     """Add y[t] = a*y[t-1] + u[t] for every entry `name: (a, u)`, with y = 0 before row 1.
 
     Three levels: a weighted sum per block of `rows` rows, a fold over 256 blocks, and a
     short look back over those folds. Then each block finishes on its own from the value
-    carried in. No level holds more than 256 values of a series in one place.
+    carried in. No level holds more than 256 values of a series in one place. `u` is SQL
+    text, which keeps a plan with dozens of smoothers quick to build.
     """
     group = 256
-    rn0 = F.col(position) - 1
-    spot = F.pmod(rn0, F.lit(rows))
-    inputs = df.select(
-        "*", F.expr(f"({position} - 1) div {rows}").alias("_scan"), spot.alias("_spot"),
-        *[u.alias(f"_u_{n}") for n, (_, u) in steps.items()])
+    by = ", ".join(f"`{k}`" for k in keys)
+    number = {n: i for i, n in enumerate(steps)}
+    inputs = df.selectExpr(
+        "*", f"({position} - 1) div {rows} AS _scan", f"({position} - 1) % {rows} AS _spot",
+        *[f"CAST({u} AS DOUBLE) AS _u{number[n]}" for n, (_, u) in steps.items()])
 
     blocks = inputs.groupBy(*keys, "_scan").agg(*[
-        F.sum(F.col(f"_u_{n}") * F.pow(F.lit(a), F.lit(rows - 1) - F.col("_spot")))
-        .alias(f"_s_{n}") for n, (a, _) in steps.items()])
+        F.expr(f"sum(_u{number[n]} * pow({a!r}D, {rows - 1} - _spot)) AS _s{number[n]}")
+        for n, (a, _) in steps.items()])
     folded = (
-        blocks.withColumn("_group", F.expr(f"_scan div {group}"))
-        .groupBy(*keys, "_group")
-        .agg(F.array_sort(F.collect_list(F.struct("_scan", *[f"_s_{n}" for n in steps])))
+        blocks.groupBy(*keys, F.expr(f"_scan div {group} AS _group"))
+        .agg(F.array_sort(F.collect_list(F.struct("_scan", *[f"_s{i}" for i in number.values()])))
              .alias("_parts")))
+    folded = folded.selectExpr("*", *[
+        f"aggregate(_parts, 0D, (y, b) -> y * {a ** rows!r}D + b._s{number[n]}) AS _t{number[n]}"
+        for n, (a, _) in steps.items()])
+    carries = []
     for n, (a, _) in steps.items():
-        folded = folded.withColumn(f"_t_{n}", F.aggregate(
-            "_parts", F.lit(0.0),
-            lambda acc, part, n=n, a=a: acc * F.lit(a ** rows) + part[f"_s_{n}"]))
-    along = Window.partitionBy(*keys).orderBy("_group")
-    for n, (a, _) in steps.items():
+        t, along = f"_t{number[n]}", f"OVER (PARTITION BY {by} ORDER BY _group"
         if a == 1:
-            carry = F.sum(f"_t_{n}").over(along.rowsBetween(Window.unboundedPreceding, -1))
+            carry = f"sum({t}) {along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         else:
             # A whole group shrinks an older value by a**(256*rows): three terms are exact.
             shrink = a ** (rows * group)
-            carry = sum((F.coalesce(F.lag(f"_t_{n}", back).over(along), F.lit(0.0))
-                         * F.lit(shrink ** (back - 1)) for back in (1, 2, 3)), F.lit(0.0))
-        folded = folded.withColumn(f"_c_{n}", F.coalesce(carry, F.lit(0.0)))
-    for n, (a, _) in steps.items():
-        folded = folded.withColumn(f"_c_{n}", F.aggregate(
-            "_parts", F.array(F.col(f"_c_{n}")),
-            lambda acc, part, n=n, a=a: F.concat(acc, F.array(
-                F.element_at(acc, -1) * F.lit(a ** rows) + part[f"_s_{n}"]))))
+            carry = " + ".join(f"coalesce(lag({t}, {back}) {along}), 0D) * {shrink ** (back - 1)!r}D"
+                               for back in (1, 2, 3))
+        carries.append(f"coalesce({carry}, 0D) AS _c{number[n]}")
+    entering = [
+        f"aggregate(_parts, array(_c{number[n]}), (y, b) -> concat(y, array("
+        f"element_at(y, -1) * {a ** rows!r}D + b._s{number[n]}))) AS _c{number[n]}"
+        for n, (a, _) in steps.items()]
     carried = (
-        folded.select(*keys, *[f"_c_{n}" for n in steps],
-                      F.posexplode("_parts").alias("_at", "_part"))
-        .select(*keys, F.col("_part._scan").alias("_scan"),
-                *[F.get(f"_c_{n}", F.col("_at")).alias(f"_c_{n}") for n in steps]))
-
-    inside = Window.partitionBy(*keys, "_scan").orderBy(position).rowsBetween(
-        Window.unboundedPreceding, 0)
-    local = inputs.select("*", *[
-        (F.col(f"_u_{n}") if a == 0 else
-         F.sum(F.col(f"_u_{n}") * F.pow(F.lit(a), -F.col("_spot"))).over(inside)
-         * F.pow(F.lit(a), F.col("_spot"))).alias(f"_l_{n}")
+        folded.selectExpr(*keys, "_group", "_parts", *carries)
+        .selectExpr(*keys, "posexplode(_parts) AS (_at, _part)", *entering)
+        .selectExpr(*keys, "_part._scan AS _scan",
+                    *[f"get(_c{i}, _at) AS _c{i}" for i in number.values()]))
+
+    inside = f"OVER (PARTITION BY {by}, _scan ORDER BY {position} ROWS UNBOUNDED PRECEDING)"
+    local = inputs.selectExpr("*", *[
+        f"_u{number[n]} AS _l{number[n]}" if a == 0 else
+        f"sum(_u{number[n]} * pow({a!r}D, -_spot)) {inside} * pow({a!r}D, _spot) AS _l{number[n]}"
         for n, (a, _) in steps.items()])
-    return local.join(carried, [*keys, "_scan"]).select(
+    return local.join(carried, [*keys, "_scan"]).selectExpr(
         *df.columns,
-        *[(F.col(f"_l_{n}") + F.col(f"_c_{n}") * F.pow(F.lit(a), F.col("_spot") + 1)).alias(n)
+        *[f"_l{number[n]} + _c{number[n]} * pow({a!r}D, _spot + 1) AS `{n}`"
           for n, (a, _) in steps.items()])

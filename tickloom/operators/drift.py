@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.functions.distribution import cumulative, long_form, value_counts
 from tickloom.functions.metrics import (
@@ -91,7 +91,7 @@ def chi_square_tail(x: float, dof: int) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p_value(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail(float(x), int(d)) for x, d in zip(statistic, dof)])
 

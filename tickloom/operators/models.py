@@ -19,6 +19,7 @@ from tickloom.functions.lookups import attach
 from tickloom.functions.metrics import mae, regression_metrics
 from tickloom.functions.scalars import registered_name
 from tickloom.functions.series import candle_cell, number_rows
+from tickloom.session import materialize
 
 SEED = 42
 
@@ -218,27 +219,29 @@ def tune(train: DataFrame, test: DataFrame, features: list[str], target: str, na
     models refitted with the best parameters; `test_mae` belongs to the chosen trial.
     """
     spark = train.sparkSession
-    rows, best = [], {}
     measure = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mae")
-    folded = contiguous_folds(train, folds, step_ms=step_ms)
-    for pair in _pairs(train):
-        own = folded.filter(F.col("pair") == pair)
-        held = test.filter(F.col("pair") == pair)
-        for name in names:
-            draw = random.Random(f"{seed}:{pair}:{name}")
-            pipeline = _stages(families()[name], features, target)
-            last = pipeline.getStages()[-1]
-            drawn = [search_space(name, draw) for _ in range(trials)]
-            maps = [{last.getParam(k): v for k, v in d.items()} for d in drawn]
-            search = CrossValidator(
-                estimator=pipeline, estimatorParamMaps=maps, evaluator=measure,
-                numFolds=folds, foldCol="fold", parallelism=parallelism).fit(own)
-            test_mae = measure.evaluate(search.bestModel.transform(held))
-            at = min(range(trials), key=lambda i: search.avgMetrics[i])
-            best[(pair, name)] = search.bestModel
-            rows += [(pair, name, i, str(sorted(d.items())), float(search.avgMetrics[i]),
-                      float(test_mae) if i == at else None, i == at)
-                     for i, d in enumerate(drawn)]
+    folded = materialize(contiguous_folds(train, folds, step_ms=step_ms))
+
+    def search(item):
+        pair, name = item
+        own, held = (df.filter(F.col("pair") == pair) for df in (folded, test))
+        draw = random.Random(f"{seed}:{pair}:{name}")
+        pipeline = _stages(families()[name], features, target)
+        last = pipeline.getStages()[-1]
+        drawn = [search_space(name, draw) for _ in range(trials)]
+        found = CrossValidator(
+            estimator=pipeline, evaluator=measure, numFolds=folds, foldCol="fold",
+            estimatorParamMaps=[{last.getParam(k): v for k, v in d.items()} for d in drawn]).fit(own)
+        test_mae = measure.evaluate(found.bestModel.transform(held))
+        at = min(range(trials), key=lambda i: found.avgMetrics[i])
+        return item, found.bestModel, [
+            (pair, name, i, str(sorted(d.items())), float(found.avgMetrics[i]),
+             float(test_mae) if i == at else None, i == at) for i, d in enumerate(drawn)]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(search, [(p, n) for p in _pairs(train) for n in names]))
+    best = {item: model for item, model, _ in done}
+    rows = [row for _, _, trial_rows in done for row in trial_rows]
     table = spark.createDataFrame(
         rows, "pair string, model string, trial int, params string, cv_mae double, "
               "test_mae double, chosen boolean")

@@ -18,12 +18,13 @@ INCREASING = "window_start_ms"
 MIN_ROWS = 10
 
 
-def expectations(df: DataFrame, arrival: str | None = None, min_rows: int = MIN_ROWS,
-                 cell_ms: int = 86_400_000) -> DataFrame:
+def expectations(df: DataFrame, arrival: str | None = None, strictly: bool = False,
+                 min_rows: int = MIN_ROWS, cell_ms: int = 86_400_000) -> DataFrame:
     """One row per expectation: name, column, success, unexpected count.
 
-    Counts come from one pass. The time column must strictly increase within each pair,
-    in order of `arrival` (default: its own order, so only repeats fail).
+    Counts come from one pass. The time column must increase within each pair in order of
+    `arrival`; equal values fail only when `strictly`. Without an arrival column rows have
+    no order but their time, so repeats are all that can fail.
     """
     kinds = dict(df.dtypes)
     counts = [F.count(F.lit(1)).alias("rows")]
@@ -55,27 +56,30 @@ def expectations(df: DataFrame, arrival: str | None = None, min_rows: int = MIN_
         return as_rows(measured, entries + [("increasing", INCREASING, F.lit(False), none)])
     bad = F.col("out_of_order")
     return as_rows(measured, entries).unionByName(as_rows(
-        _not_increasing(df, arrival, cell_ms), [("increasing", INCREASING, bad == 0, bad)]))
+        _not_increasing(df, arrival, strictly, cell_ms), [("increasing", INCREASING, bad == 0, bad)]))
 
 
-def _not_increasing(df: DataFrame, arrival: str | None, cell_ms: int) -> DataFrame:
-    """Rows whose time is not above the one before, as a single count.
+def _not_increasing(df: DataFrame, arrival: str | None, strictly: bool, cell_ms: int) -> DataFrame:
+    """Rows whose time is below the one before, as a single count.
 
     Rows are compared inside cells; across cells only one edge value per cell is.
     """
     if arrival is None:
         # In its own order a column fails to increase exactly where a value repeats.
         repeats = df.filter(F.col(INCREASING).isNotNull()).groupBy("pair", INCREASING).agg(
-            (F.count(F.lit(1)) - 1).alias("n"))
+            (F.count(F.lit(1)) - 1 if strictly else F.lit(0)).alias("n"))
         return repeats.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("out_of_order"))
     cells = df.filter(F.col(INCREASING).isNotNull()).withColumn("_cell", time_cell(arrival, cell_ms))
     inside = Window.partitionBy("pair", "_cell").orderBy(arrival)
-    within = cells.select("pair", "_cell", (F.col(INCREASING) <= F.lag(INCREASING).over(inside))
-                          .alias("bad")).agg(F.count_if("bad").alias("n"))
+
+    def fails(now: str, before: Column) -> Column:
+        return (F.col(now) <= before if strictly else F.col(now) < before).alias("bad")
+
+    within = cells.select("pair", "_cell", fails(INCREASING, F.lag(INCREASING).over(inside))).agg(F.count_if("bad").alias("n"))
     along = Window.partitionBy("pair").orderBy("_cell")
     edges = cells.groupBy("pair", "_cell").agg(
         F.min_by(INCREASING, arrival).alias("first"), F.max_by(INCREASING, arrival).alias("last"))
-    across = edges.select((F.col("first") <= F.lag("last").over(along)).alias("bad")).agg(
+    across = edges.select(fails("first", F.lag("last").over(along))).agg(
         F.count_if("bad").alias("n"))
     return within.unionByName(across).agg(F.sum("n").cast("bigint").alias("out_of_order"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.operators.dedup import KEYS, latest_per_key
+from tickloom.operators.dedup import KEYS, latest_per_key, one_per_key
 from tickloom.functions.scalars import trading_date
 from tickloom.operators.selection import only_models
 
@@ -26,12 +26,15 @@ def upsert(rows: DataFrame, batch_id: int, path: str, arrival: Column | None = N
     Every batch owns a directory that a retry overwrites, so running a batch twice changes
     nothing, and no file is read and rewritten in one job. `read_feature_table` returns the
     newest row per key; `replace_with_clean_copy` merges the batches from time to time.
+    One file per pair and month: a month of minute candles of a pair is some ten MB.
+    `arrival` orders rows of one key inside a batch; without it a batch holds each key once.
     """
-    kept = latest_per_key(
+    kept = one_per_key(
         rows.withColumn("_arrival", F.lit(0).cast("bigint") if arrival is None else arrival),
-        KEYS["candles"], "created_at", "_arrival")
-    (kept.withColumn("day", trading_date("window_start_ms"))
-     .write.mode("overwrite").partitionBy("pair", "day")
+        KEYS["candles"], [F.desc("_arrival")])
+    month = F.date_format(trading_date("window_start_ms"), "yyyyMM").cast("int")
+    (kept.withColumn("month", month).repartition("pair", "month")
+     .write.mode("overwrite").partitionBy("pair", "month")
      .parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}"))
 
 

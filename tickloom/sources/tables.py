@@ -28,13 +28,14 @@ def read_feature_table(spark: SparkSession, path: str, pair: str | None = None,
                        from_ms: int | None = None) -> DataFrame:
     """The current rows of the feature table at `path` (see sinks.tables.upsert).
 
-    Pair and day are directories, so both filters prune files before anything is read.
+    Pair and month are directories, so both filters prune files before anything is read.
     """
     table = spark.read.parquet(path)
     if pair is not None:
         table = table.filter(F.col("pair") == pair)
     if from_ms is not None:
-        table = table.filter((F.col("day") >= F.to_date(F.timestamp_millis(F.lit(from_ms))))
+        month = F.date_format(F.timestamp_millis(F.lit(from_ms)), "yyyyMM").cast("int")
+        table = table.filter((F.col("month") >= month)
                              & (F.col("window_start_ms") >= from_ms))
     newest = one_per_key(table, KEYS["candles"], [F.desc("batch_id"), F.desc("_arrival")])
-    return newest.drop("batch_id", "day", "_arrival")
+    return newest.drop("batch_id", "month", "_arrival")
