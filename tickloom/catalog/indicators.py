@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tickloom.catalog.base import *  # noqa: F403
 from tickloom.catalog.base import query, r
-from tickloom.operators.indicators import indicators, macd_weights
+from tickloom.operators.indicators import indicators
 from tickloom.plans.features import feature_table as build_features
 from tickloom.schemas import PERIODS
 
@@ -22,20 +22,23 @@ def _select(columns: dict[str, str], head: str = BASE, source: str = "moves") ->
             + ", ".join(f"{r(e)} AS {c}" for c, e in columns.items()) + f" FROM {source}")
 
 
-def _list(values) -> str:
-    return "[" + ", ".join(repr(float(v)) for v in values) + "]"
-
-
 def _macd_tail(p: int) -> dict[str, str]:
-    line, signal = macd_weights(p)
-    need = 3 * p - 1
-
-    def dot(weights):
-        return (f"CASE WHEN rn >= {need} THEN list_dot_product("
-                f"list(close) {frame(need)}, {_list(weights)}) END")
-
-    return {f"macd_{p}": dot(line), f"macdsignal_{p}": dot(signal),
-            f"macdhist_{p}": f"({dot(line)}) - ({dot(signal)})"}
+    """Step by step over the list of closes: seeds, then both averages bar by bar."""
+    need, fast, slow = 3 * p - 1, 2 / (p + 1), 2 / (2 * p + 1)
+    x = f"(list(close) {frame(need)})"
+    f0, s0 = f"list_avg({x}[{p + 1}:{2 * p}])", f"list_avg({x}[1:{2 * p}])"
+    start = f"{{'f': {f0}, 's': {s0}, 't': {f0} - {s0}}}"
+    rest = f"list_transform({x}[{2 * p + 1}:], lambda v: {{'f': v, 's': v, 't': 0.0::DOUBLE}})"
+    f, s = f"(a.f + {fast!r} * (b.f - a.f))", f"(a.s + {slow!r} * (b.s - a.s))"
+    end = (f"list_reduce(list_prepend({start}, {rest}), "
+           f"lambda a, b: {{'f': {f}, 's': {s}, 't': a.t + {f} - {s}}})")
+
+    def known(e: str) -> str:
+        return f"CASE WHEN rn >= {need} THEN {e} END"
+
+    line, signal = f"({end}).f - ({end}).s", f"({end}).t / {p}"
+    return {f"macd_{p}": known(line), f"macdsignal_{p}": known(signal),
+            f"macdhist_{p}": known(f"({line}) - {signal}")}
 
 
 def _adx_tail(p: int) -> str:

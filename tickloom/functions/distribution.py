@@ -44,7 +44,7 @@ def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
     shares = [i / ranges for i in range(1, ranges)]
     cuts = counts.groupBy(*series).agg(
         F.array_distinct(F.percentile_approx("value", shares, ranges * 20)).alias("_cuts"))
-    tagged = attach(counts, cuts, series, "inner") if by else counts.join(F.broadcast(cuts), series)
+    tagged = attach(counts, cuts, series, "inner", row_bytes=16 * ranges) if by else counts.join(F.broadcast(cuts), series)
     halves = F.array(*[F.lit(ranges >> i) for i in range(1, ranges.bit_length())])
 
     def closer(spot: Column, half: Column) -> Column:

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.session import materialize
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def attach(df: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+           row_bytes: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join per-key results to the rows they came from.
 
-    `small` is computed once and counted. Up to `max_rows` rows it is broadcast, so a key
-    with a large share of the rows is not shuffled into one task. Beyond that the join
-    shuffles, and adaptive execution splits skewed partitions.
+    `small` is computed once and counted. While rows times `row_bytes` (default: a generous
+    width per column) stay within `max_bytes` it is broadcast, so a key with a large share
+    of the rows is not shuffled into one task. Beyond that the join shuffles, and adaptive
+    execution splits skewed partitions.
     """
     kept = materialize(small)
-    if kept.limit(max_rows + 1).count() <= max_rows:
+    width = row_bytes or 48 * len(kept.columns)
+    most = max_bytes // width
+    if kept.limit(most + 1).count() <= most:
         return df.join(F.broadcast(kept), on, how)
     return df.join(kept.hint("shuffle_merge"), on, how)

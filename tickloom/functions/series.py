@@ -60,12 +60,13 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], cell: Column,
 
 
 def with_halo(df: DataFrame, keys: list[str], before: int = 0, after: int = 0,
-              position: str = "rn", block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, Window]:
+              position: str = "rn", block_rows: int | None = None) -> tuple[DataFrame, Window]:
     """Copy each row into the blocks that look at it, and give the window over a block.
 
     `before` and `after` are the largest distances a window function looks back or ahead.
     Copies carry `_halo` = true; call `drop_halo` when the window columns are in place.
     """
+    block_rows = block_rows or BLOCK_ROWS
     at = F.col(position) - 1
     home = F.expr(f"({position} - 1) div {block_rows}")
     first = F.expr(f"greatest({position} - 1 - {after}, 0) div {block_rows}")
@@ -136,12 +137,20 @@ def scan_rows(decays: list[float], longest_need: int) -> int:
     return rows
 
 
+def _look_back(shrink: float) -> int:
+    """Groups until an older value has shrunk below double precision."""
+    terms = 1 if shrink < 1e-18 else math.ceil(math.log(1e-18) / math.log(shrink))
+    if terms > 100:
+        raise ValueError("smoothing too slow for one scan; use larger scan blocks")
+    return terms
+
+
 def affine_scan(df: DataFrame, keys: list[str], steps: dict[str, tuple[float, str]],
                 position: str = "rn", rows: int = SCAN_ROWS) -> DataFrame:
     """Add y[t] = a*y[t-1] + u[t] for every entry `name: (a, u)`, with y = 0 before row 1.
 
     Three levels: a weighted sum per block of `rows` rows, a fold over 256 blocks, and a
-    short look back over those folds. Then each block finishes on its own from the value
+    look back over those folds that is as long as double precision needs. Then each block finishes on its own from the value
     carried in. No level holds more than 256 values of a series in one place. `u` is SQL
     text, which keeps a plan with dozens of smoothers quick to build.
     """
@@ -168,10 +177,10 @@ def affine_scan(df: DataFrame, keys: list[str], steps: dict[str, tuple[float, st
         if a == 1:
             carry = f"sum({t}) {along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         else:
-            # A whole group shrinks an older value by a**(256*rows): three terms are exact.
+            # A whole group shrinks an older value by a**(256*rows), so few groups still count.
             shrink = a ** (rows * group)
             carry = " + ".join(f"coalesce(lag({t}, {back}) {along}), 0D) * {shrink ** (back - 1)!r}D"
-                               for back in (1, 2, 3))
+                               for back in range(1, _look_back(shrink) + 1))
         carries.append(f"coalesce({carry}, 0D) AS _c{number[n]}")
     entering = [
         f"aggregate(_parts, array(_c{number[n]}), (y, b) -> concat(y, array("

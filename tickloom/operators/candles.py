@@ -39,17 +39,20 @@ def ohlcv(order: Column) -> list[Column]:
 
 
 def candles(trades: DataFrame, window_in_sec: int, arrival: str | None = "seq",
-            open_close_by: str = "arrival") -> DataFrame:
-    """Candles over epoch-aligned tumbling windows; a window without trades has no row."""
+            open_close_by: str = "arrival", extra: list[Column] = ()) -> DataFrame:
+    """Candles over epoch-aligned tumbling windows; a window without trades has no row.
+
+    `extra` adds named aggregates of one's own, such as a trade count.
+    """
     width = window_in_sec * 1000
-    return (
+    made = (
         trades.groupBy(F.col("product_id").alias("pair"),
                        window_start("timestamp_ms", width).alias("window_start_ms"))
-        .agg(*ohlcv(trade_order(open_close_by, arrival)))
+        .agg(*ohlcv(trade_order(open_close_by, arrival)), *extra)
         .withColumn("window_end_ms", F.col("window_start_ms") + F.lit(width))
         .withColumn("window_in_sec", F.lit(window_in_sec))
-        .select(*COLUMNS)
     )
+    return made.select(*COLUMNS, *[c for c in made.columns if c not in COLUMNS])
 
 
 def only_resolution(candle_rows: DataFrame, window_in_sec: int) -> DataFrame:

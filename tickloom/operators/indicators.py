@@ -29,13 +29,14 @@ def needs(p: int) -> dict[str, int]:
 def macd_weights(p: int) -> tuple[list[float], list[float]]:
     """Tail MACD line and signal as weights on the last 3p-1 closes, oldest first.
 
-    Both averages start from a plain mean p-1 bars before the current one.
+    Both averages start p-1 bars before the current one, from the plain mean of the closes
+    up to that bar.
     """
     size = 3 * p - 1
 
     def ema_points(n: int) -> list[list[float]]:
         k = 2.0 / (n + 1)
-        start = 2 * p - 1
+        start = 2 * p
         point = [1.0 / n if start - n <= j < start else 0.0 for j in range(size)]
         points = [point]
         for step in range(1, p):

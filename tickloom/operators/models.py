@@ -38,10 +38,13 @@ def baseline_error(df: DataFrame, target: str, by: tuple[str, ...] = ("pair",))
         F.count(F.lit(1)).alias("n_samples"), error.alias("baseline_mae"), (-error).alias("score"))
 
 
-def leaderboard(predictions: DataFrame) -> DataFrame:
-    """Metrics of every pair and model, best MAE first within a pair."""
+def leaderboard(predictions: DataFrame, extra: list[Column] = ()) -> DataFrame:
+    """Metrics of every pair and model, best MAE first within a pair.
+
+    `extra` adds named metrics of one's own: aggregates over `actual` and `prediction`.
+    """
     return predictions.groupBy("pair", "model").agg(
-        *regression_metrics("actual", "prediction")).orderBy("pair", "mae", "model")
+        *regression_metrics("actual", "prediction"), *extra).orderBy("pair", "mae", "model")
 
 
 def top_models(board: DataFrame, n: int = 1) -> DataFrame:

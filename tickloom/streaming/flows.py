@@ -6,7 +6,7 @@ window, which cannot feed a second stateful operator in the same query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
@@ -34,9 +34,14 @@ def topic(spark: SparkSession, schema: StructType, path: str | None = None,
     return from_keyed_json(reader.json(path), schema)
 
 
-def with_event_time(df: DataFrame, ms: str = "timestamp_ms", delay: str = "10 minutes") -> DataFrame:
-    """Event time from the payload, and the time after which late rows are dropped."""
-    return df.withColumn("event_time", F.timestamp_millis(F.col(ms))).withWatermark("event_time", delay)
+def with_event_time(df: DataFrame, ms: str | Column = "timestamp_ms", delay: str = "10 minutes"
+                    ) -> DataFrame:
+    """Event time from the payload, and the time after which late rows are dropped.
+
+    `ms` names the field, or is an expression that extracts epoch milliseconds.
+    """
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return df.withColumn("event_time", F.timestamp_millis(ms)).withWatermark("event_time", delay)
 
 
 def candle_stream(trades: DataFrame, window_in_sec: int, arrival: str | None = "seq") -> DataFrame:
@@ -109,3 +114,20 @@ def publish_backfill(spark: SparkSession, schema: StructType, landed: str, path:
 def publish_all(df: DataFrame, path: str, key: str = "product_id") -> None:
     """Publish a whole history in one batch write."""
     keyed_json(df, key).write.mode("append").json(path)
+
+
+def prediction_error_stream(predictions: DataFrame, candle_rows: DataFrame, horizon_ms: int,
+                            delay: str = "10 minutes") -> DataFrame:
+    """Predictions joined to the candle that closes `horizon_ms` later, with the error.
+
+    A prediction (pair, window_start_ms, prediction) waits in state until its candle is
+    there, or the watermark has passed it.
+    """
+    due = with_event_time(predictions.withColumn(
+        "due_ms", F.col("window_start_ms") + F.lit(horizon_ms)), "due_ms", delay).select(
+        "pair", "window_start_ms", "due_ms", "prediction", F.col("event_time").alias("due_time"))
+    actual = with_event_time(candle_rows, "window_start_ms", delay).select(
+        F.col("pair").alias("_pair"), F.col("event_time").alias("_time"), F.col("close").alias("actual"))
+    return due.join(actual, (F.col("pair") == F.col("_pair")) & (F.col("due_time") == F.col("_time"))).select(
+        "pair", "window_start_ms", "prediction", "actual",
+        F.abs(F.col("actual") - F.col("prediction")).alias("abs_error"))
