@@ -86,7 +86,7 @@ def test_training_set_fits_on_the_training_rows(table):
     assert everything.filter("pair = 'A/EUR'").agg(F.avg("close")).first()[0] == pytest.approx(0, abs=1e-9)
 
 
-def test_train_compare_tune_and_score(table, spark):
+def test_train_compare_tune_and_score(table, spark, folder):
     ready, features, target = training.training_set(table, 5)
     train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
     names = ["LinearRegression", "Ridge", "DecisionTreeRegressor"]
@@ -107,6 +107,13 @@ def test_train_compare_tune_and_score(table, spark):
                                       ready.filter("split = 'validation'"), target))
     scored = M.score(test.filter("pair = 'A/EUR'"), fitted[("A/EUR", "Ridge")], band).first()
     assert scored.prediction_low <= scored.prediction <= scored.prediction_high
+    chosen = trials.filter("chosen").selectExpr("pair", "model", "5 AS horizon", "test_mae AS mae")
+    names = M.register(chosen, f"{folder}/registry", best, f"{folder}/models")
+    assert sorted(names) == ["A_EUR_Ridge_5/1", "B_EUR_Ridge_5/1"]
+    loaded = M.load_model(f"{folder}/models", "A_EUR_Ridge_5", 1)
+    rows = test.filter("pair = 'A/EUR'")
+    assert M.score(rows, loaded).select("prediction").collect() == M.score(
+        rows, best[("A/EUR", "Ridge")]).select("prediction").collect()
     assert M.score(test, None).filter("prediction <> close").count() == 0
 
 

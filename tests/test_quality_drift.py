@@ -97,6 +97,13 @@ def test_categorical_drift(spark):
     assert not same.drifted and same.jensen_shannon == 0
 
 
+def test_mixed_columns(spark):
+    ref = spark.range(2000).selectExpr("id % 10 AS x", "0D AS target", "if(id % 2 = 0, 'a', 'b') AS c")
+    cur = spark.range(900).selectExpr("id % 10 + 5 AS x", "9D AS target", "if(id % 2 = 0, 'a', 'b') AS c")
+    rows = {r.column: (r.kind, r.method, r.drifted) for r in X.data_drift(ref, cur, ("c",), ("target",)).collect()}
+    assert rows == {"x": ("num", "wasserstein", True), "c": ("cat", "jensen_shannon", False)}
+
+
 def test_error_over_time_against_brute_force(spark):
     day = X.DAY_MS
     rng = np.random.default_rng(2)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions.scalars import seconds_to_iso
 from tickloom.operators.candles import candles
 from tickloom.operators.indicators import indicators
-from tickloom.session import checkpoint_folder, materialize
+from tickloom.session import materialize, work_folder  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,11 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder beside the checkpoints, which all executors share."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/tickloom-{uuid.uuid4().hex}"
-
-
 # --- test tables as market data -------------------------------------------------------
 
 def as_trades(events: DataFrame) -> DataFrame:

@@ -22,14 +22,16 @@ def _targets(spark, sf):
 
 def _board(spark, sf):
     """Leaderboard of simple forecasts: what the model tables below start from."""
-    return M.leaderboard(forecasts(_targets(spark, sf), "target"))
+    return M.leaderboard(forecasts(_targets(spark, sf), "target"), features=10)
 
 
 BOARD = f"""{FORECASTS}, board AS (SELECT pair, model, count(*) AS n_samples,
   avg(abs(actual - prediction)) AS mae, sqrt(avg((actual - prediction) ** 2)) AS rmse,
-  1 - sum((actual - prediction) ** 2) / (var_pop(actual) * count(*)) AS r2
+  1 - sum((actual - prediction) ** 2) / (var_pop(actual) * count(*)) AS r2,
+  1 - sum((actual - prediction) ** 2) / (var_pop(actual) * count(*)) * (count(*) - 1) / (count(*) - 11) AS adjusted_r2
   FROM forecasts GROUP BY pair, model)"""
-BOARD_OUT = f"pair, model, n_samples, {r('mae')} AS mae, {r('rmse')} AS rmse, {r('r2')} AS r2"
+BOARD_OUT = (f"pair, model, n_samples, {r('mae')} AS mae, {r('rmse')} AS rmse, {r('r2')} AS r2, "
+             f"{r('adjusted_r2')} AS adjusted_r2")
 RANKED = "row_number() OVER (PARTITION BY pair ORDER BY mae, model)"
 
 
@@ -117,7 +119,6 @@ NAMES = ["LinearRegression", "Ridge", "Lasso", "DecisionTreeRegressor"]
 
 def _training_rows(spark, sf):
     ready, features, target = training.training_set(hourly_features(spark, sf), 5, step_ms=STEP)
-    ready = materialize(ready)
     return ready.filter("split = 'train'"), ready.filter("split = 'test'"), features, target
 
 
@@ -140,7 +141,6 @@ def tuning_trials(spark, sf):
 def scored_rows(spark, sf):
     """Predictions with an error band from the validation residuals."""
     ready, features, target = training.training_set(hourly_features(spark, sf), 5, step_ms=STEP)
-    ready = materialize(ready)
     fitted = M.train_families(ready.filter("split = 'train'"), features, target, ["Ridge"])
     band = M.error_band(M.predict_all(fitted, ready.filter("split = 'validation'"), target))
     made = M.predict_all(fitted, ready.filter("split = 'test'"), target)

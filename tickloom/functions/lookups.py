@@ -20,7 +20,6 @@ def attach(df: DataFrame, small: DataFrame, on: list[str], how: str = "left",
     """
     kept = materialize(small)
     width = row_bytes or 48 * len(kept.columns)
-    most = max_bytes // width
-    if kept.limit(most + 1).count() <= most:
+    if kept.count() * width <= max_bytes:
         return df.join(F.broadcast(kept), on, how)
     return df.join(kept.hint("shuffle_merge"), on, how)

@@ -186,11 +186,12 @@ def affine_scan(df: DataFrame, keys: list[str], steps: dict[str, tuple[float, st
         f"aggregate(_parts, array(_c{number[n]}), (y, b) -> concat(y, array("
         f"element_at(y, -1) * {a ** rows!r}D + b._s{number[n]}))) AS _c{number[n]}"
         for n, (a, _) in steps.items()]
+    # The folds are columns before the arrays open up, so each runs once per group.
+    columns = ", ".join(["_scan", *[f"_c{i}" for i in number.values()]])
     carried = (
         folded.selectExpr(*keys, "_group", "_parts", *carries)
-        .selectExpr(*keys, "posexplode(_parts) AS (_at, _part)", *entering)
-        .selectExpr(*keys, "_part._scan AS _scan",
-                    *[f"get(_c{i}, _at) AS _c{i}" for i in number.values()]))
+        .selectExpr(*keys, "_parts._scan AS _scan", *entering)
+        .selectExpr(*keys, f"inline(arrays_zip({columns}))").filter("_scan IS NOT NULL"))
 
     inside = f"OVER (PARTITION BY {by}, _scan ORDER BY {position} ROWS UNBOUNDED PRECEDING)"
     local = inputs.selectExpr("*", *[

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.functions.distribution import cumulative, long_form, value_counts
+from tickloom.functions.lookups import attach
 from tickloom.functions.metrics import (
     mae, mean_error, metrics_from_sums, r2, regression_metrics, rmse)
 from tickloom.operators.quality import numeric_columns
@@ -139,6 +140,22 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
         .otherwise(F.col("chi_square_p_value") < P_VALUE).alias("drifted"))
 
 
+def data_drift(reference: DataFrame, current: DataFrame, categorical: tuple[str, ...] = (),
+               exclude: tuple[str, ...] = ()) -> DataFrame:
+    """One verdict per column: all numeric columns but `exclude` (target, prediction), and
+    the categorical ones."""
+    numeric = numeric_drift(reference, current, exclude=exclude).select(
+        "column", F.lit("num").alias("kind"), "method",
+        F.when(F.col("method") == "wasserstein", F.col("wasserstein_normed"))
+        .otherwise(F.col("ks_p_value")).alias("score"), "drifted")
+    if not categorical:
+        return numeric
+    return numeric.unionByName(categorical_drift(reference, current, list(categorical)).select(
+        "column", F.lit("cat").alias("kind"), "method",
+        F.when(F.col("method") == "jensen_shannon", F.col("jensen_shannon"))
+        .otherwise(F.col("chi_square_p_value")).alias("score"), "drifted"))
+
+
 def drift_share(verdicts: DataFrame, named: str = "close") -> DataFrame:
     """Columns, drifted columns, their share, the data-set verdict, and one named column."""
     share = F.count_if("drifted") / F.count(F.lit(1))
@@ -173,7 +190,6 @@ def error_over_time(predictions: DataFrame, window_days: int = 7, step_days: int
     by = list(by)
     bounds = predictions.groupBy(*by).agg(F.min(ms).alias("_t0"), F.max(ms).alias("_t1"))
     if by:
-        from tickloom.functions.lookups import attach
         based = attach(predictions, bounds, by, "inner")
     else:
         first = bounds.first()

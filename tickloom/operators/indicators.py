@@ -11,7 +11,7 @@ Needs, in candles: SMA and EMA p, RSI p+1, ADX 2p, MACD 3p-1 (fast p, slow 2p, s
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -120,15 +120,17 @@ def _tail(df: DataFrame, keys: list[str], periods, kinds) -> DataFrame:
     schema = T.StructType(df.schema.fields + [T.StructField(c, T.DoubleType()) for c in made])
     names = df.columns
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn", ignore_index=True)
-        arrays = tail_arrays(*(pdf[c].to_numpy(float) for c in ("high", "low", "close", "volume")),
-                             periods, kinds)
-        home = ~pdf["_halo"].to_numpy(bool)
-        return pd.concat([pdf.loc[home, names], pd.DataFrame(
-            {c: arrays[c][home] for c in made}, index=pdf.index[home])], axis=1)
-
-    return rows.groupBy(*keys, "_block").applyInPandas(block, schema)
+    def block(rows_of_block: pa.Table) -> pa.Table:
+        order = np.argsort(rows_of_block["rn"].to_numpy())
+        prices = (rows_of_block[c].to_numpy()[order] for c in ("high", "low", "close", "volume"))
+        arrays = tail_arrays(*prices, periods, kinds)
+        home = ~rows_of_block["_halo"].to_numpy()[order]
+        out = rows_of_block.select(names).take(order[home])
+        for c in made:
+            out = out.append_column(c, pa.array(arrays[c][home], from_pandas=True))
+        return out
+
+    return rows.groupBy(*keys, "_block").applyInArrow(block, schema)
 
 
 def _smooth(start: int, seed: str, later: str) -> str:

@@ -16,9 +16,10 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.lookups import attach
-from tickloom.functions.metrics import mae, regression_metrics
+from tickloom.functions.metrics import adjusted_r2, mae, regression_metrics
 from tickloom.functions.scalars import registered_name
 from tickloom.functions.series import candle_cell, number_rows
+from tickloom.schemas import REGISTRY as SCHEMA
 from tickloom.session import materialize
 
 SEED = 42
@@ -38,11 +39,14 @@ def baseline_error(df: DataFrame, target: str, by: tuple[str, ...] = ("pair",))
         F.count(F.lit(1)).alias("n_samples"), error.alias("baseline_mae"), (-error).alias("score"))
 
 
-def leaderboard(predictions: DataFrame, extra: list[Column] = ()) -> DataFrame:
+def leaderboard(predictions: DataFrame, extra: list[Column] = (), features: int | None = None
+                ) -> DataFrame:
     """Metrics of every pair and model, best MAE first within a pair.
 
-    `extra` adds named metrics of one's own: aggregates over `actual` and `prediction`.
+    With the number of `features`, R2 adjusted for it. `extra` adds named metrics of one's own: aggregates over `actual` and `prediction`.
     """
+    if features is not None:
+        extra = [adjusted_r2("actual", "prediction", features).alias("adjusted_r2"), *extra]
     return predictions.groupBy("pair", "model").agg(
         *regression_metrics("actual", "prediction"), *extra).orderBy("pair", "mae", "model")
 
@@ -99,17 +103,34 @@ def next_entries(accepted: DataFrame, registry: DataFrame) -> DataFrame:
         features.alias("feature_columns"))
 
 
-def register(accepted: DataFrame, registry_path: str) -> None:
-    """Append the accepted candidates to the registry table."""
+def register(accepted: DataFrame, registry_path: str,
+             models: dict[tuple[str, str], PipelineModel] | None = None,
+             model_path: str | None = None) -> list[str]:
+    """Append the accepted candidates to the registry table, and save their models.
+
+    `models` holds them by pair and model name; each is saved as name/version below
+    `model_path` before its registry row appears. Returns the names with their versions.
+    """
     spark = accepted.sparkSession
     try:
         registry = spark.read.parquet(registry_path)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        registry = spark.createDataFrame(
-            [], "pair string, model string, horizon int, version int, mae double")
-    next_entries(accepted, registry).write.mode("append").parquet(registry_path)
+        registry = spark.createDataFrame([], SCHEMA)
+    entries = materialize(next_entries(accepted, registry))
+    # One row per pair and accepted model.
+    listed = [r.asDict() for r in entries.select("name", "pair", "model", "version").collect()]
+    for entry in listed:
+        model = (models or {}).get((entry["pair"], entry["model"]))
+        if model is not None:
+            model.write().overwrite().save(f"{model_path}/{entry['name']}/{entry['version']}")
+    entries.write.mode("append").parquet(registry_path)
+    return [f"{e['name']}/{e['version']}" for e in listed]
+
+
+def load_model(model_path: str, name: str, version: int) -> PipelineModel:
+    return PipelineModel.load(f"{model_path}/{name}/{version}")
 
 
 # --- training -------------------------------------------------------------------------
@@ -223,7 +244,7 @@ def tune(train: DataFrame, test: DataFrame, features: list[str], target: str, na
     """
     spark = train.sparkSession
     measure = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mae")
-    folded = materialize(contiguous_folds(train, folds, step_ms=step_ms))
+    folded = materialize(contiguous_folds(train, folds, step_ms=step_ms), "pair", candle_cell(step_ms))
 
     def search(item):
         pair, name = item

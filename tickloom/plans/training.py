@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.functions.series import candle_cell
 from tickloom.operators.models import (
     baseline_error, best_tuned, leaderboard, predict_all, promotion, train_families, tune)
 from tickloom.operators.prep import add_target, apply_scaler, fit_scaler, handle_missing
@@ -20,7 +21,8 @@ def training_set(table: DataFrame, horizon: int = 5, method: str = "drop", n_spl
     """Cleaned, scaled rows with target and `split`; also feature names and target name.
 
     The scaler sees the training rows only, or everything with fit_on="all". `price` keeps
-    the unscaled close for the baseline.
+    the unscaled close for the baseline. The result is stored by pair, since each model
+    reads the rows of one.
     """
     clean = handle_missing(table.drop("timestamp", "created_at"), method, step_ms=step_ms)
     target = f"future_close_{horizon}m"
@@ -30,7 +32,8 @@ def training_set(table: DataFrame, horizon: int = 5, method: str = "drop", n_spl
     features = [c for c, k in split.dtypes
                 if k in ("double", "bigint", "int") and c not in (*KEYS, target, "price")]
     seen = split if fit_on == "all" else split.filter("split = 'train'")
-    return apply_scaler(split, fit_scaler(seen, features, kind)), features, target
+    scaled = apply_scaler(split, fit_scaler(seen, features, kind))
+    return materialize(scaled, "pair", candle_cell(step_ms)), features, target
 
 
 def run(table: DataFrame, horizon: int = 5, top_n: int = 1, trials: int = 3,
@@ -42,7 +45,6 @@ def run(table: DataFrame, horizon: int = 5, top_n: int = 1, trials: int = 3,
     """
     spark = table.sparkSession
     ready, features, target = training_set(table, horizon, n_splits=n_splits, step_ms=step_ms)
-    ready = materialize(ready)
     train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
     board = materialize(leaderboard(predict_all(
         train_families(train, features, target, families), test, target)))

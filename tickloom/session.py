@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,18 +30,13 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
+    """The shared folder of the cluster for intermediate results (spark.checkpoint.dir).
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        if current is None:
-            spark.sparkContext.setCheckpointDir(folder)
         return folder
-    if current:
-        return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tickloom-")
@@ -48,11 +44,24 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute `df` once and keep it in the shared checkpoint folder.
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared one."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/tickloom-{uuid.uuid4().hex}"
 
-    For results that several later steps read; losing an executor then costs no
-    recomputation.
+
+def materialize(df: DataFrame, by: str | None = None, spread: Column | None = None) -> DataFrame:
+    """Compute `df` once, as a Parquet table in the shared folder, and return that table.
+
+    For results that several later steps read: each reads only the columns it needs, Spark
+    knows the size, and losing an executor costs no recomputation. With `by` every value of
+    that column gets a directory of its own, for steps that read one value at a time;
+    `spread` splits large values over several tasks and files.
     """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_folder(df.sparkSession)
+    if by:
+        # Empty tables leave no directory behind, so the schema is given on reading.
+        parts = [by] if spread is None else [by, spread]
+        df.repartition(*parts).write.partitionBy(by).parquet(path)
+    else:
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
