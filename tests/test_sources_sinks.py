@@ -80,6 +80,11 @@ def test_upsert_keeps_the_last_version_and_prunes(spark, folder):
     K.upsert(feature_rows(spark, 3, 1, "ETH/EUR"), 3, folder)
     rows = T.read_feature_table(spark, folder).orderBy("pair", "window_start_ms").collect()
     assert [r.close for r in rows] == [2, 2, 2, 1, 1, 3]
+    K.upsert(feature_rows(spark, 7, 2), 0, folder, run=1)
+    rows = T.read_feature_table(spark, folder).orderBy("pair", "window_start_ms").collect()
+    assert [r.close for r in rows] == [7, 7, 2, 1, 1, 3]
+    K.compact(spark, folder, f"{folder}-compact")
+    assert T.read_feature_table(spark, f"{folder}-compact").orderBy("pair", "window_start_ms").collect() == rows
     one = T.read_feature_table(spark, folder, "ETH/EUR", 0)
     assert [r.close for r in one.collect()] == [3]
     plan = one._jdf.queryExecution().executedPlan().toString()

@@ -26,6 +26,8 @@ def query(sql: str | None = None, digits: int | None = 6, name: str | None = Non
         label = name or fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The tables hold times without a zone; they mean UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             made = fn(spark, sf_dir)
             return made if digits is None else rounded(made, digits)
 

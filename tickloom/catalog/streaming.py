@@ -23,21 +23,31 @@ TRADE_MESSAGE = T.StructType([
     T.StructField("seq", T.LongType())])
 
 
+def stream_session(spark):
+    """A session with its own settings for the stream; results are read in the caller's.
+
+    The list state of the indicators needs RocksDB, and a local run one state partition per
+    core.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    if spark.sparkContext.master.startswith("local"):
+        own.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    return own
+
+
 def event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return as_trades(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
+    own = stream_session(spark)
+    schema = table(own, sf, "events").schema
+    return as_trades(own.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
 
 
 def finish(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def _rocks(spark):
-    """State as a list per key needs this state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-
 @query(f"WITH {bars_sql()} SELECT {CANDLE_OUT} FROM bars")
 def stream_candles(spark, sf):
     """Every update of a candle, upserted: the table ends up with whole candles."""
@@ -73,7 +83,7 @@ def stream_backfill(spark, sf):
     """Landed history published batch by batch, and read back."""
     home = work_folder(spark)
     keyed_json(trades(spark, sf), "product_id").repartition(4).write.json(f"{home}/landed")
-    flows.publish_backfill(spark, TRADE_MESSAGE, f"{home}/landed", f"{home}/topic", f"{home}/state",
+    flows.publish_backfill(stream_session(spark), TRADE_MESSAGE, f"{home}/landed", f"{home}/topic", f"{home}/state",
                            files_per_batch=2).awaitTermination()
     return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), TRADE_MESSAGE)
 
@@ -81,9 +91,8 @@ def stream_backfill(spark, sf):
 @query(FLAGSHIP.replace(", CAST(NULL AS TIMESTAMP) AS created_at", ""))
 def stream_indicators(spark, sf):
     """Candles as messages through the stateful indicators into the feature table."""
-    _rocks(spark)
     home = work_folder(spark)
     keyed_json(C.candles(trades(spark, sf), HOUR)).repartitionByRange(3, "value").write.json(f"{home}/candles")
-    rows = C.only_resolution(flows.topic(spark, CANDLE, f"{home}/candles"), HOUR)
+    rows = C.only_resolution(flows.topic(stream_session(spark), CANDLE, f"{home}/candles"), HOUR)
     finish(flows.to_feature_table(indicator_stream(rows, max_history=60), f"{home}/table", f"{home}/state"))
     return read_feature_table(spark, f"{home}/table")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.operators.dedup import KEYS, latest_per_key, one_per_key
 from tickloom.functions.scalars import trading_date
 from tickloom.operators.selection import only_models
+from tickloom.sources.tables import read_feature_table
 
 
 def keyed_json(df: DataFrame, key: str = "pair") -> DataFrame:
@@ -20,12 +21,14 @@ def from_keyed_json(messages: DataFrame, schema) -> DataFrame:
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
 
 
-def upsert(rows: DataFrame, batch_id: int, path: str, arrival: Column | None = None) -> None:
+def upsert(rows: DataFrame, batch_id: int, path: str, arrival: Column | None = None,
+           run: int = 0) -> None:
     """Store one batch of feature rows; a later row replaces an earlier one of its key.
 
     Every batch owns a directory that a retry overwrites, so running a batch twice changes
-    nothing, and no file is read and rewritten in one job. `read_feature_table` returns the
-    newest row per key; `replace_with_clean_copy` merges the batches from time to time.
+    nothing, and no file is read and rewritten in one job. Batches count from 0 within a
+    `run`; a stream with a new checkpoint takes a higher run number. `read_feature_table`
+    returns the newest row per key; `compact` merges the batches from time to time.
     One file per pair and month: a month of minute candles of a pair is some ten MB.
     `arrival` orders rows of one key inside a batch; without it a batch holds each key once.
     """
@@ -35,7 +38,15 @@ def upsert(rows: DataFrame, batch_id: int, path: str, arrival: Column | None = N
     month = F.date_format(trading_date("window_start_ms"), "yyyyMM").cast("int")
     (kept.withColumn("month", month).repartition("pair", "month")
      .write.mode("overwrite").partitionBy("pair", "month")
-     .parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}"))
+     .parquet(f"{path.rstrip('/')}/run={int(run)}/batch_id={int(batch_id)}"))
+
+
+def compact(spark: SparkSession, path: str, new_path: str) -> None:
+    """Write the current rows of a feature table as a single batch of a new one.
+
+    Readers and the stream switch to it afterwards, the stream with a higher run number.
+    """
+    upsert(read_feature_table(spark, path), 0, new_path)
 
 
 def replace_with_clean_copy(df: DataFrame, path: str, key: list[str] = KEYS["candles"],

@@ -37,5 +37,5 @@ def read_feature_table(spark: SparkSession, path: str, pair: str | None = None,
         month = F.date_format(F.timestamp_millis(F.lit(from_ms)), "yyyyMM").cast("int")
         table = table.filter((F.col("month") >= month)
                              & (F.col("window_start_ms") >= from_ms))
-    newest = one_per_key(table, KEYS["candles"], [F.desc("batch_id"), F.desc("_arrival")])
-    return newest.drop("batch_id", "month", "_arrival")
+    newest = one_per_key(table, KEYS["candles"], [F.desc("run"), F.desc("batch_id"), F.desc("_arrival")])
+    return newest.drop("run", "batch_id", "month", "_arrival")

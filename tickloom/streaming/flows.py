@@ -97,11 +97,14 @@ def to_topic(df: DataFrame, checkpoint: str, path: str | None = None, key: str =
     return out.format("json").option("path", path)
 
 
-def to_feature_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
-                     ) -> DataStreamWriter:
-    """Writer that upserts each micro-batch into the feature table."""
+def to_feature_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                     run: int = 0) -> DataStreamWriter:
+    """Writer that upserts each micro-batch into the feature table.
+
+    With a new checkpoint on an existing table, raise `run`: batches count from 0 again.
+    """
     return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda rows, batch_id: upsert(rows, batch_id, path)))
+            .foreachBatch(lambda rows, batch_id: upsert(rows, batch_id, path, run=run)))
 
 
 def publish_backfill(spark: SparkSession, schema: StructType, landed: str, path: str,
