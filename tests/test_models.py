@@ -142,3 +142,22 @@ def test_feature_plan_removes_repeated_trades(spark):
     once = feature_table(trades, 60, (7,)).orderBy("window_start_ms").collect()
     twice = feature_table(trades.unionByName(again), 60, (7,)).orderBy("window_start_ms").collect()
     assert once == twice and len(once) == 100
+
+
+def test_scoring_a_stream(table, spark, folder):
+    """The same model and band on streaming feature rows."""
+    ready, features, target = training.training_set(table, 5)
+    fitted = M.train_families(ready, features, target, ["Ridge"], pairs=["A/EUR"])
+    band = M.error_band(M.predict_all(fitted, ready, target))
+    one = ready.filter("pair = 'A/EUR'")
+    one.write.parquet(f"{folder}/features")
+    rows = spark.readStream.schema(one.schema).parquet(f"{folder}/features")
+    made = M.score(rows, fitted[("A/EUR", "Ridge")], band).select("window_start_ms", "prediction", "prediction_low")
+    made.writeStream.option("checkpointLocation", f"{folder}/state").format("parquet").option(
+        "path", f"{folder}/scored").trigger(availableNow=True).start().awaitTermination()
+    batch = M.score(one, fitted[("A/EUR", "Ridge")], band).select("window_start_ms", "prediction", "prediction_low")
+
+    def rounded(df):
+        return {(r[0], round(r[1], 9), round(r[2], 9)) for r in df.collect()}
+
+    assert rounded(spark.read.parquet(f"{folder}/scored")) == rounded(batch) and batch.count() == one.count()

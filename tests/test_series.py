@@ -99,3 +99,21 @@ def test_scan_rows_refuses_periods_out_of_range():
     assert S.scan_rows([0.75, 1.0], 100) == S.SCAN_ROWS
     with pytest.raises(ValueError):
         S.scan_rows([0.1], 2000)
+
+
+def test_one_long_series_is_spread_over_bounded_groups(spark, monkeypatch):
+    """No window group grows with the series, also when one pair holds most rows."""
+    monkeypatch.setattr(S, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(S, "CELL_ROWS", 400)
+    df = spark.range(20_000).selectExpr(
+        "if(id % 10 < 9, 'hot', 'cold') AS pair", "id * 60000 AS window_start_ms", "1D AS close")
+    numbered = S.number_rows(df, KEY, ["window_start_ms"], S.candle_cell(60_000))
+    cells = df.groupBy("pair", S.candle_cell(60_000).alias("c")).count()
+    assert cells.agg(F.max("count")).first()[0] <= 400
+    blocks, _ = S.with_halo(numbered, KEY, before=60)
+    sizes = blocks.groupBy("pair", "_block").count().collect()
+    assert max(r["count"] for r in sizes) <= 560
+    assert sum(r["pair"] == "hot" for r in sizes) >= 36
+    spread = blocks.repartition(8, "pair", "_block").filter("pair = 'hot'").select(
+        F.spark_partition_id().alias("p")).distinct().count()
+    assert spread == 8

@@ -91,6 +91,12 @@ def test_upsert_keeps_the_last_version_and_prunes(spark, folder):
     assert "isnotnull(pair" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_pairs_that_look_like_numbers_stay_text(spark, folder):
+    K.upsert(feature_rows(spark, 1, 2, "007"), 0, folder)
+    table = T.read_feature_table(spark, folder)
+    assert dict(table.dtypes)["pair"] == "string" and {r.pair for r in table.collect()} == {"007"}
+
+
 def test_clean_copy_and_exports(spark, folder):
     df = feature_rows(spark, 1).withColumn("created_at", F.lit(None).cast("timestamp"))
     twice = df.withColumn("seq", F.lit(1)).unionByName(df.withColumn("seq", F.lit(2)).withColumn("close", F.lit(9.0)))

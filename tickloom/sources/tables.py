@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.operators.dedup import KEYS, one_per_key
 
@@ -30,7 +30,10 @@ def read_feature_table(spark: SparkSession, path: str, pair: str | None = None,
 
     Pair and month are directories, so both filters prune files before anything is read.
     """
-    table = spark.read.parquet(path)
+    # Directory names alone would turn a pair such as "007" into a number.
+    found = spark.read.parquet(path).schema
+    table = spark.read.schema(T.StructType([
+        T.StructField("pair", T.StringType()) if f.name == "pair" else f for f in found.fields])).parquet(path)
     if pair is not None:
         table = table.filter(F.col("pair") == pair)
     if from_ms is not None:
