@@ -50,17 +50,17 @@ def latest_per_key(df: DataFrame, key: list[str] = KEYS["candles"],
 
 
 def dedup_stats(df: DataFrame, kind: str) -> DataFrame:
-    """Rows processed (first sightings), duplicates and distinct keys of one feed.
+    """Keys seen first (processed), repeats, and keys held, of one feed.
 
-    Counted from one number per key, which combines map-side.
+    Rows with a missing key part pass through uncounted. One number per key is counted, which
+    combines map-side.
     """
     key = KEYS[kind]
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    whole = _complete(key)
+    per_key = df.filter(_complete(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
-        F.sum(F.when(whole, F.lit(1)).otherwise(F.col("n"))).cast("bigint").alias("processed"),
-        F.sum(F.when(whole, F.col("n") - 1).otherwise(F.lit(0))).cast("bigint").alias("duplicates"),
-        F.count_if(whole).alias("cache_size"),
+        F.count(F.lit(1)).alias("processed"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
+        F.count(F.lit(1)).alias("cache_size"),
     ).select(F.lit(kind).alias("stream"), "processed", "duplicates", "cache_size")
 
 
