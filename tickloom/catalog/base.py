@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions.scalars import seconds_to_iso
 from tickloom.operators.candles import candles
 from tickloom.operators.indicators import indicators
-from tickloom.session import materialize, work_folder  # noqa: F401
+from tickloom.session import materialize, ship, work_folder  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,7 @@ def query(sql: str | None = None, digits: int | None = 6, name: str | None = Non
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # The tables hold times without a zone; they mean UTC.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship(spark)
             made = fn(spark, sf_dir)
             return made if digits is None else rounded(made, digits)
 

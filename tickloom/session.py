@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -26,7 +28,31 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers, once per application; returns the session.
+
+    Functions that run in Python workers are found by their module's name, so a worker needs
+    the package even where it is not installed. The driver serves the archive itself.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        top = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tickloom-code-"), "tickloom.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        packed.write(path, os.path.relpath(path, os.path.dirname(top)))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
