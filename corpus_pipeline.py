@@ -11,7 +11,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, langid, near_dedup
+from tickloom.llm import bpe, credentials, decontam, langid, near_dedup
+from tickloom.llm.common import row_key
 from tickloom.llm.queries import fold, table
 from tickloom.session import materialize, ship
 
@@ -33,7 +34,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
-STAGES = [("language", language), ("near_duplicates", near_duplicates)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold ten words in a row of a benchmark item (or a shorter item) go."""
+    ship(spark)
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("_id", "_text")
+    id_, text = row_key("doc_id", "text")
+    return docs.join(found, id_.eqNullSafe(found["_id"]) & (text == found["_text"]), "left_anti")
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Credentials in texts are masked; every document stays."""
+    ship(spark)
+    return credentials.redact(docs).select(*[
+        F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text (little-endian unsigned 32-bit integers), checked by decoding."""
+    ship(spark)
+    return bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                            keep=["doc_id", "lang", "source"], check=True)
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
+          ("redact", redact), ("encode", encode)]
 ORACLE_SQL = None       # language fields, hashed signatures and byte-pair merges are not SQL
 
 

@@ -88,22 +88,26 @@ def _schema(df: DataFrame, kept: list[str]) -> str:
 
 
 def encode_texts(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
-                 keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (default: all) with `ids`: little-endian unsigned 32-bit integers as bytes."""
+                 keep: list[str] | None = None, check: bool = False) -> DataFrame:
+    """The kept columns (default: all) with n_tokens and `ids`: little-endian unsigned 32-bit
+    integers as bytes. With `check` an error is raised where decoding does not give the text."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
     shared, schema = _shared(docs, rank_file), _schema(docs, kept)
     rows = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches):
-        coder, _ = _coder(shared.value, pattern)
+        coder, table = _coder(shared.value, pattern)
         for batch in batches:
             n, data = [], []
-            for text in batch.column("__text"):
-                ids = encode(coder, text.as_py())
+            for text in batch.column(len(kept)):
+                text = text.as_py()
+                ids = encode(coder, text)
+                if check and decode(table, ids) != (text or "").encode():
+                    raise ValueError("decoded bytes differ from the text")
                 n.append(len(ids))
                 data.append(ids.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(n, pa.int64()), pa.array(data, pa.binary())],
+                [*batch.columns[:len(kept)], pa.array(n, pa.int64()), pa.array(data, pa.binary())],
                 [*kept, "n_tokens", "ids"])
 
     return rows.mapInArrow(run, f"{schema}n_tokens long, ids binary")
@@ -118,8 +122,8 @@ def decode_ids(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str =
     def run(batches):
         _, table = _coder(shared.value, pattern)
         for batch in batches:
-            data = [decode(table, np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column("__ids")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(data, pa.binary())],
+            data = [decode(table, np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column(len(kept))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(data, pa.binary())],
                                              [*kept, "decoded"])
 
     return rows.mapInArrow(run, f"{schema}decoded binary")
@@ -138,13 +142,13 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "t
         coder, table = _coder(shared.value, pattern)
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
-            for text in batch.column("__text"):
+            for text in batch.column(len(kept)):
                 ids = encode(coder, text.as_py())
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
                 text_sha.append(hashlib.sha256(decode(table, ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
+                [*batch.columns[:len(kept)], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(text_sha, pa.string())], [*kept, *made])
 
     return rows.mapInArrow(run, f"{schema}n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,3 +37,8 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     """What tells rows apart: the id and a hash of the text. Rows equal in both are repeated
     rows and get the same results."""
     return [F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text")]
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once per row, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -217,7 +217,7 @@ def label(docs: DataFrame, model: dict | None, text_col: str = "text", spans: bo
         first = np.full(k, 1 / k, np.float32)
         trans = np.exp(model["moves"] - model["moves"].max(axis=1, keepdims=True)).astype(np.float32)
         for batch in batches:
-            texts = [words_of(t) for t in batch.column("__text").to_pylist()]
+            texts = [words_of(t) for t in batch.column(len(kept)).to_pylist()]
             lengths, flat = words.number(texts)
             del texts
             sums, runs = np.zeros((len(lengths), k)), {}
@@ -232,7 +232,7 @@ def label(docs: DataFrame, model: dict | None, text_col: str = "text", spans: bo
                    pa.array(np.clip(np.where(lengths > 0, share[np.arange(len(best)), best], 0.0), 0, 1))]
             if spans:
                 out.append(_runs(lengths, runs, languages))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *out],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *out],
                                              [*kept, "lang_pred", "score", "lang_spans"][:len(kept) + len(out)])
 
     return docs.select(*kept, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, f"{schema}, {added}" if schema else added)

@@ -239,6 +239,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     result = rows.join(firsts, "digest", "left").join(
         stored(placed).withColumnRenamed("id", "first"), "first", "left")
-    component = F.coalesce("component", "first", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, hmm, langid, near_dedup, sharding, token_files, warc
+from tickloom.llm import (
+    bpe, credentials, decontam, hmm, langid, near_dedup, quality, sharding, token_files, warc)
 from tickloom.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -41,6 +42,11 @@ def op1(spark, sf_dir):
                        "base_score", "score")
 
 
+@query("op2_credential_links")
+def op2(spark, sf_dir):
+    return credentials.findings(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id").drop("_text")
+
+
 NEAR_DUPLICATES = r"""WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
@@ -74,11 +80,47 @@ def op4(spark, sf_dir):
                           public_tokenizers.PATTERN, keep=["doc_id"])
 
 
+WINNOWED = r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS span, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
+  FROM i, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(s) WHERE len(w) > 0),
+found AS (
+  SELECT doc_id, s, span, array_to_string(w[s:s + span - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT span FROM windows) AS spans, unnest(range(1, len(w) - span + 2)) AS t(s)),
+hits AS (SELECT doc_id, s, f.span, item_id FROM found f JOIN windows x ON x.span = f.span AND x.g = f.g),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(s, s + span)) AS t(p) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+  FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id"""
+
+
+@query("op5_winnowing", WINNOWED)
+def op5(spark, sf_dir):
+    made = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return made.withColumnRenamed("_id", "doc_id").drop("_text")
+
+
 @query("op6_weighted_hash_tree")
 def op6(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"), sharding.balanced_tree(16))
 
 
+@query("op7_ngram_ratio")
+def op7(spark, sf_dir):
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 CAPTURES = r"""WITH hosts AS (
   SELECT *, coalesce(html, '') AS payload, coalesce(regexp_replace(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '') AS rest
   FROM pages),
