@@ -31,7 +31,8 @@ UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 SIZE = 1 << 14              # hashed features
 LEXICON = 2_000             # words of a language that have a feature of their own
-CACHED_WORDS = 400_000      # words whose scores a task keeps
+CACHED_WORDS = 200_000      # words whose scores a task keeps from one batch to the next
+SLICE = 200                 # texts that are split into words together
 STICKY = 3.0                # first guess of the gain of staying in a language
 FIRM = 4.0                  # largest transition weight: whole documents carry one label, but texts do switch
 
@@ -68,15 +69,13 @@ class Words:
 
     def number(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and word numbers of the texts."""
-        if len(self.numbers) > CACHED_WORDS:
-            self.forget()
         numbers, new = self.numbers, []
         for words in texts:
             for word in set(words).difference(numbers):
                 numbers[word] = len(numbers)
                 new.append(word)
         if new:
-            found = [features(w, self.lexicon) for w in new]
+            found = [np.array(features(w, self.lexicon), np.int32) for w in new]
             starts = np.concatenate(([0], np.cumsum([len(f) for f in found])))[:-1]
             scores = np.add.reduceat(self.weights[np.concatenate(found)], starts, axis=0)
             self.potentials = np.concatenate((self.potentials, potentials(scores)))
@@ -217,9 +216,14 @@ def label(docs: DataFrame, model: dict | None, text_col: str = "text", spans: bo
         first = np.full(k, 1 / k, np.float32)
         trans = np.exp(model["moves"] - model["moves"].max(axis=1, keepdims=True)).astype(np.float32)
         for batch in batches:
-            texts = [words_of(t) for t in batch.column(len(kept)).to_pylist()]
-            lengths, flat = words.number(texts)
-            del texts
+            if len(words.numbers) > CACHED_WORDS:
+                words.forget()
+            # Words of a few texts at a time, as numbers from there on.
+            parts = [words.number([words_of(t) for t in batch.column(len(kept)).slice(at, SLICE).to_pylist()])
+                     for at in range(0, batch.num_rows, SLICE)]
+            lengths = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+            flat = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
+            del parts
             sums, runs = np.zeros((len(lengths), k)), {}
             for at, sequence, gamma, _, _ in posteriors(lengths, lambda p: words.potentials[flat[p]], first, trans):
                 for i in range(k):
