@@ -71,10 +71,13 @@ def test_promotion_and_registration(spark, folder):
                    "base": (True, "better than baseline"), "new": (True, "no existing model"),
                    "equal": (True, "no existing model")}
     path = f"{folder}/registry"
-    M.register(candidates.filter("model = 'new'"), path)
-    M.register(candidates.filter("model IN ('new', 'old')"), path)
-    rows = {(r.name, r.version) for r in spark.read.parquet(path).collect()}
-    assert rows == {("A_EUR_new_5", 1), ("A_EUR_new_5", 2), ("A_EUR_old_5", 1)}
+    named = candidates.withColumn("model", F.lit("baseline"))
+    M.register(named.filter("mae = 9.0"), path)
+    M.register(named.filter("mae = 0.5"), path)
+    rows = {(r.name, r.version, r.mae) for r in spark.read.parquet(path).collect()}
+    assert rows == {("A_EUR_baseline_5", 1, 9.0), ("A_EUR_baseline_5", 2, 0.5)}
+    with pytest.raises(ValueError):
+        M.register(candidates.filter("model = 'new'"), path)
 
 
 def test_training_set_fits_on_the_training_rows(table):
@@ -127,8 +130,12 @@ def test_every_family_fits_and_every_space_draws(table):
         assert drawn and all(estimator.hasParam(k) for k in drawn)
 
 
-def test_whole_training_plan(table):
-    out = training.run(table, trials=1, folds=2, families=["Ridge", "Lasso"])
+def test_whole_training_plan(table, folder):
+    out = training.run(table, trials=1, folds=2, families=["Ridge", "Lasso"],
+                       registry_path=f"{folder}/registry", model_path=f"{folder}/models")
+    assert len(out["registered"]) == 4 and set(out["models"]) == {(r.pair, r.model) for r in out["promotion"].collect()}
+    name, _, version = next(n for n in out["registered"] if "baseline" not in n).partition("/")
+    assert M.load_model(f"{folder}/models", name, int(version)) is not None
     assert out["leaderboard"].count() == 4
     decided = out["promotion"].collect()
     assert {r.pair for r in decided} == {"A/EUR", "B/EUR"} and all(r.register for r in decided)

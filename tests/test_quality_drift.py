@@ -147,10 +147,10 @@ def test_expectations(spark):
     assert failed(bars(spark, volume="if(id < 2, -1D, 1D)")) == {("at_least_zero", "volume"): 2}
     assert failed(bars(spark, close="CAST(id AS INT)")) == {("of_type", "close"): 0}
     late = bars(spark, window_start_ms="if(id = 10, 60000L, id * 60000)")
-    assert failed(late, arrival="seq", cell_ms=3) == {("increasing", "window_start_ms"): 1}
+    assert failed(late, arrival="seq", cell=3) == {("increasing", "window_start_ms"): 1}
     repeat = bars(spark, window_start_ms="if(id = 10, 540000L, id * 60000)")
-    assert failed(repeat, arrival="seq", cell_ms=3) == {}
-    assert failed(repeat, arrival="seq", cell_ms=3, strictly=True) == {("increasing", "window_start_ms"): 1}
+    assert failed(repeat, arrival="seq", cell=3) == {}
+    assert failed(repeat, arrival="seq", cell=3, strictly=True) == {("increasing", "window_start_ms"): 1}
     assert failed(repeat, strictly=True) == {("increasing", "window_start_ms"): 1}
     summary = Q.validation_summary(Q.expectations(bars(spark, 9))).first()
     assert (summary.evaluated, summary.unsuccessful, summary.success) == (20, 1, False)

@@ -30,6 +30,8 @@ def test_decode_pages(spark):
     assert [r.position for r in decode.rejected_trades(pages).orderBy("position").collect()] == [1, 2]
     summary = {r.request_no: (r.trades, r.cursor) for r in decode.page_summary(pages).collect()}
     assert summary[1] == (4, "1704067200123456789") and summary[2][0] == 0 and summary[3][0] == 0
+    assert summary[5] == (None, None)
+    assert {(r.request_no, r.reason) for r in decode.rejected_pages(pages).collect()} == {(2, "error"), (5, "not a page")}
 
 
 def test_page_audit(spark):
@@ -50,6 +52,10 @@ def test_decode_messages(spark):
     rows = decode.decode_messages(df).orderBy("product_id").collect()
     assert [(r.product_id, r.price, r.timestamp_ms) for r in rows] == [
         ("BTC/EUR", 1.5, 1704067200123), ("ETH/EUR", 3.5, 1704067200000)]
+    bad = {"channel": "trade", "data": [{"symbol": "X", "price": 1.0, "qty": 1.0, "timestamp": "noon"}, {"price": 1.0}]}
+    numbered = df.unionByName(spark.createDataFrame([(json.dumps(bad),)], "value string")).withColumn("offset", F.lit(7))
+    assert sorted(r.seq for r in decode.decode_messages(numbered, arrival="offset").collect()) == [7_000_000, 7_000_001]
+    assert sorted(r.reason for r in decode.rejected_messages(numbered).collect()) == ["no product", "no time", "not a message"]
 
 
 def test_scalars(spark):

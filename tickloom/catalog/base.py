@@ -119,19 +119,29 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"error":[],"result":{'), F.array_join(F.transform(
         F.map_entries(result), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"])), ","),
         F.lit("}}"))
-    return page.select("product_id", "request_no", body.alias("body"))
+    # Every 17th page of a product is cut off, every 19th is an error.
+    cut = F.substring(body, 1, 40)
+    return page.select(
+        "product_id", "request_no",
+        F.when(F.col("request_no") % 17 == 16, cut)
+        .when(F.col("request_no") % 19 == 18, F.lit('{"error":["EGeneral"],"result":{}}')).otherwise(body).alias("body"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trades as live messages; trades of `view` are heartbeats instead."""
+    """The trades as live messages with their arrival number; heartbeats, status messages and
+    messages with something wrong are chosen by row."""
     iso = F.concat(seconds_to_iso(F.col("timestamp_ms") / 1000), F.lit("Z"))
     body = F.to_json(F.struct(F.lit("trade").alias("channel"), F.array(F.struct(
         F.col("product_id").alias("symbol"), "price", F.col("quantity").alias("qty"),
         iso.alias("timestamp"))).alias("data")))
+    kind = F.col("seq") % 11
     return trades(spark, sf_dir).select(
-        F.when(F.col("product_id") == "view", F.lit('{"channel":"heartbeat"}'))
-        .when(F.col("product_id") == "error", F.lit('{"channel":"status"}'))
-        .otherwise(body).alias("value"))
+        F.when(kind == 1, F.lit('{"channel":"heartbeat"}'))
+        .when(kind == 2, F.lit('{"channel":"status","data":[]}'))
+        .when(kind == 3, F.lit("no message"))
+        .when(kind == 4, F.regexp_replace(body, '"timestamp":"[^"]*"', '"timestamp":"noon"'))
+        .when(kind == 5, F.regexp_replace(body, '"symbol":"[^"]*",', ""))
+        .otherwise(body).alias("value"), F.col("seq").alias("offset"))
 
 
 def forecasts(df: DataFrame, target: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tickloom.catalog.base import *  # noqa: F403
-from tickloom.catalog.base import query, r
+from pyspark.sql import functions as F
+
+from tickloom.catalog.base import ORACLES, query, r
 from tickloom.operators.indicators import indicators
 from tickloom.plans.features import feature_table as build_features
 from tickloom.schemas import PERIODS
@@ -186,3 +188,44 @@ def adx_full(spark, sf):
 def obv_full(spark, sf):
     return indicators(bars(spark, sf), kinds=("ema",), step_ms=STEP, seed="full").select(
         "pair", "window_start_ms", "obv")
+
+
+# --- unknown candles --------------------------------------------------------------------
+# What follows an unknown candle is a run of its own: the same SQL over (pair, run).
+
+HOLE = "(window_start_ms // 3600000) % 97 = 5"
+IN_RUNS = f"""WITH {TRADES}, all_bars AS ({candle_sql(HOUR)}),
+counted AS (SELECT *, count(*) FILTER ({HOLE}) OVER (PARTITION BY pair ORDER BY window_start_ms) AS run FROM all_bars),
+bars AS (SELECT * REPLACE (pair || '#' || run AS pair) FROM counted WHERE NOT ({HOLE})), {MOVES}"""
+
+
+def holes(spark, sf):
+    """Hourly candles of which some have no price: NULL, or NaN at even days."""
+    rows = bars(spark, sf)
+    gone = F.expr("(window_start_ms div 3600000) % 97 = 5")
+    nothing = F.when(F.expr("(window_start_ms div 86400000) % 2 = 0"), F.lit(float("nan")))
+    return rows.withColumns({c: F.when(gone, nothing).otherwise(F.col(c)) for c in ("high", "low", "close")})
+
+
+def _with_holes(sql: str, columns: list[str]) -> str:
+    return (sql.replace(BASE, IN_RUNS).replace("SELECT pair, window_start_ms", "SELECT split_part(pair, '#', 1) AS pair, window_start_ms")
+            + " UNION ALL SELECT pair, window_start_ms, " + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in columns)
+            + f" FROM all_bars WHERE {HOLE}")
+
+
+def _gappy(name: str, full: bool, *kinds: str) -> None:
+    columns = [f"{k}_{p}" for p in PERIODS for k in kinds]
+
+    def run(spark, sf):
+        made = indicators(holes(spark, sf), kinds=kinds, step_ms=STEP, seed="full" if full else "tail")
+        return made.select("pair", "window_start_ms", *columns)
+
+    query(_with_holes(ORACLES[name], columns), name=f"{name}_gappy")(run)
+
+
+_gappy("rsi_tail", False, "rsi")
+_gappy("adx_tail", False, "adx")
+_gappy("macd_tail", False, "macd", "macdsignal", "macdhist")
+_gappy("ema_full", True, "ema")
+_gappy("adx_full", True, "adx")
+_gappy("macd_full", True, "macd", "macdsignal", "macdhist")

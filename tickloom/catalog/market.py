@@ -57,6 +57,7 @@ def stale_feeds(spark, sf):
     return Q.stale_feeds(trades(spark, sf), AS_OF_MS, 300)
 
 
+PAGE_OK = "(pos // 100 + 1) % 17 <> 16 AND (pos // 100 + 1) % 19 <> 18"
 ISO = ("CASE WHEN timestamp_ms % 1000 = 0 THEN strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S') "
        "ELSE strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S.%f') END")
 
@@ -67,7 +68,7 @@ parsed AS (SELECT *, CAST(timestamp_ms / 1000.0 AS DOUBLE) AS sec FROM numbered)
 SELECT product_id, price, quantity, {ISO} AS timestamp,
        CAST(trunc(sec * 1000) AS BIGINT) AS timestamp_ms,
        (pos // 100 + 1) * 1000000 + pos % 100 AS seq
-FROM parsed WHERE price >= 1""", digits=None)
+FROM parsed WHERE price >= 1 AND {PAGE_OK}""", digits=None)
 def decode_pages(spark, sf):
     return decode.decode_pages(pages(spark, sf))
 
@@ -75,21 +76,38 @@ def decode_pages(spark, sf):
 @query(f"""WITH {TRADES}, numbered AS (
   SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY seq) - 1 AS pos FROM trades)
 SELECT product_id, pos // 100 + 1 AS request_no, CAST(pos % 100 AS INTEGER) AS position
-FROM numbered WHERE price < 1""")
+FROM numbered WHERE price < 1 AND {PAGE_OK}""")
 def rejected_trades(spark, sf):
     return decode.rejected_trades(pages(spark, sf)).select("product_id", "request_no", "position")
 
 
-@query(f"""WITH {TRADES} SELECT product_id, price, quantity, {ISO} || 'Z' AS timestamp, timestamp_ms
-FROM trades WHERE product_id NOT IN ('view', 'error')""", digits=None)
+@query(f"""WITH {TRADES}, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY seq) - 1 AS pos FROM trades)
+SELECT DISTINCT product_id, pos // 100 + 1 AS request_no,
+       CASE WHEN (pos // 100 + 1) % 17 = 16 THEN 'not a page' ELSE 'error' END AS reason
+FROM numbered WHERE NOT ({PAGE_OK})""")
+def rejected_pages(spark, sf):
+    return decode.rejected_pages(pages(spark, sf)).select("product_id", "request_no", "reason")
+
+
+@query(f"""WITH {TRADES} SELECT product_id, price, quantity, {ISO} || 'Z' AS timestamp, timestamp_ms,
+       seq * 1000000 AS seq FROM trades WHERE seq % 11 NOT IN (1, 2, 3, 4, 5)""", digits=None)
 def decode_messages(spark, sf):
-    return decode.decode_messages(messages(spark, sf))
+    return decode.decode_messages(messages(spark, sf), arrival="offset")
+
+
+@query(f"""WITH {TRADES} SELECT CASE seq % 11 WHEN 3 THEN 'not a message' WHEN 4 THEN 'no time'
+       ELSE 'no product' END AS reason, count(*) AS messages FROM trades WHERE seq % 11 IN (3, 4, 5) GROUP BY 1""")
+def rejected_messages(spark, sf):
+    return decode.rejected_messages(messages(spark, sf)).groupBy("reason").agg(F.count("*").alias("messages"))
 
 
 @query(f"""WITH {TRADES}, numbered AS (
   SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY seq) - 1 AS pos FROM trades)
-SELECT product_id, pos // 100 + 1 AS request_no, CAST(count(*) AS INTEGER) AS trades,
-       CAST(max(timestamp_ms) AS VARCHAR) || '000000' AS cursor
+SELECT product_id, pos // 100 + 1 AS request_no,
+       CASE WHEN (pos // 100 + 1) % 17 = 16 THEN NULL WHEN (pos // 100 + 1) % 19 = 18 THEN 0
+            ELSE CAST(count(*) AS INTEGER) END AS trades,
+       CASE WHEN {PAGE_OK} THEN CAST(max(timestamp_ms) AS VARCHAR) || '000000' END AS cursor
 FROM numbered GROUP BY product_id, pos // 100""")
 def page_summary(spark, sf):
     return decode.page_summary(pages(spark, sf))
@@ -135,6 +153,14 @@ def candles_1m(spark, sf):
     return C.candles(trades(spark, sf), 60)
 
 
+@query(f"""WITH {TRADES}, priced AS (SELECT * REPLACE (CASE WHEN seq % 5 > 1 THEN price END AS price) FROM trades),
+bars AS ({candle_sql(300, 'priced')}) SELECT {CANDLE_OUT} FROM bars""")
+def candles_gappy(spark, sf):
+    """Trades without a price neither open nor close a candle."""
+    rows = trades(spark, sf)
+    return C.candles(rows.withColumn("price", F.when(F.col("seq") % 5 > 1, F.col("price"))), 300)
+
+
 @query(f"WITH {TRADES}, bars AS ({candle_sql(HOUR, order='(timestamp_ms, seq)')}) SELECT {CANDLE_OUT} FROM bars")
 def candles_event_time(spark, sf):
     return C.candles(trades(spark, sf), HOUR, open_close_by="event_time")

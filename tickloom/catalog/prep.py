@@ -47,6 +47,14 @@ def fill_ffill(spark, sf):
     return P.fill_missing(gappy(spark, sf), "ffill", step_ms=STEP)
 
 
+@query(_fill_sql(False))
+def fill_nan(spark, sf):
+    """NaN is as unknown as NULL."""
+    rows = gappy(spark, sf)
+    return P.fill_missing(rows.withColumns({c: F.coalesce(c, F.lit(float("nan"))) for c in ("close", "volume")}),
+                          "ffill", step_ms=STEP)
+
+
 @query(_fill_sql(True))
 def fill_bfill(spark, sf):
     return P.fill_missing(gappy(spark, sf), "bfill", step_ms=STEP)

@@ -42,7 +42,7 @@ SELECT count(*) FILTER (timestamp_ms < was) AS unexpected_count FROM steps""")
 def increasing_by_arrival(spark, sf):
     """Times against arrival order; line items do not arrive in order of shipping."""
     rows = supplier_trades(spark, sf).withColumnsRenamed({"product_id": "pair", "timestamp_ms": "window_start_ms"})
-    return Q.expectations(rows, arrival="seq", cell_ms=10**11).filter(
+    return Q.expectations(rows, arrival="seq").filter(
         "expectation = 'increasing'").select("unexpected_count")
 
 

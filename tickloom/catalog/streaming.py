@@ -5,7 +5,7 @@ Each has the batch result as its twin: the last update of every window is the wh
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.catalog.base import *  # noqa: F403
 from tickloom.catalog.base import query, r
@@ -96,3 +96,28 @@ def stream_indicators(spark, sf):
     rows = C.only_resolution(flows.topic(stream_session(spark), CANDLE, f"{home}/candles"), HOUR)
     finish(flows.to_feature_table(indicator_stream(rows, max_history=60), f"{home}/table", f"{home}/state"))
     return read_feature_table(spark, f"{home}/table")
+
+
+@query(FLAGSHIP.replace(", CAST(NULL AS TIMESTAMP) AS created_at", ""))
+def stream_indicators_revised(spark, sf):
+    """Candles that are revised twice, stale repeats of them, and revisions that come too late:
+    the table ends up as if only the last versions had arrived."""
+    home, own = work_folder(spark), stream_session(spark)
+    made = materialize(C.candles(trades(spark, sf), HOUR))
+    back = F.row_number().over(Window.partitionBy("pair").orderBy(F.desc("window_start_ms")))
+    ranked = materialize(made.withColumn("back", back))
+
+    def send(rows, change: float, arrival: int):
+        moved = rows.withColumns({c: F.col(c) + F.lit(change) for c in ("open", "high", "low", "close")})
+        keyed_json(moved.drop("back").withColumn("arrival", F.lit(arrival))).coalesce(1).write.mode("append").json(f"{home}/candles")
+
+    send(ranked.filter("back > 60"), 0.0, 1)
+    send(ranked.filter("back <= 60"), 5.0, 1)
+    send(ranked.filter("back <= 60"), 9.0, 2)
+    send(ranked.filter("back <= 60"), 0.0, 3)
+    send(ranked.filter("back between 3 and 40"), 7.0, 2)        # stale
+    send(ranked.filter("back > 100"), 11.0, 4)                  # too late
+    schema = T.StructType([*CANDLE.fields, T.StructField("arrival", T.LongType())])
+    rows = flows.topic(own, schema, f"{home}/candles", max_files=1)
+    finish(flows.to_feature_table(indicator_stream(rows, max_history=60, arrival="arrival"), f"{home}/table", f"{home}/state"))
+    return read_feature_table(spark, f"{home}/table")

@@ -33,7 +33,8 @@ def value_counts(values: DataFrame, by: list[str] = (), sums: dict[str, Column]
 
 def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
                ranges: int = RANGES) -> DataFrame:
-    """Add `cum_<counter>` (at or below the value), `all_<counter>` and `next_value`.
+    """Add `cum_<counter>` (at or below the value), `all_<counter>`, `next_value` and `lowest`,
+    the smallest value of the series.
 
     The counts are read three times and kept once. The cut points are one short array per
     column, so their size is bounded by the width of the table; with `by` groups it is
@@ -58,6 +59,7 @@ def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
         tagged.groupBy(*series, "_range")
         .agg(*[F.sum(c).alias(f"_t_{c}") for c in counters], F.min("value").alias("_low"))
         .select(*series, "_range", F.lead("_low").over(along).alias("_after"),
+                F.min("_low").over(Window.partitionBy(*series)).alias("lowest"),
                 *[(F.sum(f"_t_{c}").over(along) - F.col(f"_t_{c}")).alias(f"_before_{c}")
                   for c in counters],
                 *[F.sum(f"_t_{c}").over(Window.partitionBy(*series)).alias(f"all_{c}")
@@ -71,7 +73,7 @@ def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
         .select(*series, "value", *counters,
                 *[(F.col(f"_run_{c}") + F.col(f"_before_{c}")).alias(f"cum_{c}") for c in counters],
                 *[F.col(f"all_{c}") for c in counters],
-                F.coalesce("_lead", "_after").alias("next_value")))
+                F.coalesce("_lead", "_after").alias("next_value"), "lowest"))
 
 
 def quantiles(cumulated: DataFrame, shares: dict[str, float], by: list[str] = (),

@@ -46,7 +46,11 @@ def regression_metrics(actual, predicted) -> list[Column]:
 
 
 def metrics_from_sums(n: str, sum_abs: str, sum_sq: str, sum_y: str, sum_yy: str) -> list[Column]:
-    """The same metrics from partial sums, for sums combined over several windows."""
+    """The same metrics from partial sums, for sums combined over several windows.
+
+    `sum_y` and `sum_yy` are of actual values less a constant near them, so that large values
+    with little spread lose no digits.
+    """
     rows = F.col(n)
     spread = F.col(sum_yy) - F.col(sum_y) * F.col(sum_y) / rows
     return [rows.alias("n_samples"),

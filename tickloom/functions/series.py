@@ -8,7 +8,7 @@ leave most of a cluster idle. The functions here cut each series into bounded pa
 * `nearest_known`  closest earlier or later non-null value, carried over cells;
 * `affine_scan`    y[t] = a*y[t-1] + u[t] over a whole series.
 
-Series keys and order columns must not be NULL; the decoders guarantee that.
+Series keys and order columns must not be NULL; the decoders see to that.
 """
 
 from __future__ import annotations

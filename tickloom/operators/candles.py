@@ -28,7 +28,11 @@ def trade_order(open_close_by: str, arrival: str | None) -> Column:
 
 
 def ohlcv(order: Column) -> list[Column]:
-    """The five aggregates of a candle; all of them combine map-side."""
+    """The five aggregates of a candle; all of them combine map-side.
+
+    Trades without a price do not open or close a candle; without any price all four are NULL.
+    """
+    order = F.when(F.col("price").isNotNull(), order)
     return [
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
@@ -65,10 +69,10 @@ def roll_up(candle_rows: DataFrame, window_in_sec: int) -> DataFrame:
     width = window_in_sec * 1000
     return (
         candle_rows.groupBy("pair", window_start("window_start_ms", width).alias("_start"))
-        .agg(F.min_by("open", "window_start_ms").alias("open"),
+        .agg(F.min_by("open", F.when(F.col("open").isNotNull(), F.col("window_start_ms"))).alias("open"),
              F.max("high").alias("high"),
              F.min("low").alias("low"),
-             F.max_by("close", "window_start_ms").alias("close"),
+             F.max_by("close", F.when(F.col("close").isNotNull(), F.col("window_start_ms"))).alias("close"),
              F.sum("volume").alias("volume"))
         .withColumn("window_start_ms", F.col("_start"))
         .withColumn("window_end_ms", F.col("_start") + F.lit(width))

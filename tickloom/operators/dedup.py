@@ -33,14 +33,15 @@ def dedup(df: DataFrame, kind: str, keep: str = "first", arrival: str = "seq",
     """One row per key of `kind`: the first or the last to arrive.
 
     Rows with a missing key part pass through, and so does a kind without a key.
-    `extra_key` tells apart real trades of one millisecond.
+    `extra_key` tells apart real trades of one millisecond. The input is read once: a row with
+    a missing key part gets a number of its own, which makes its key one of a kind.
     """
     if kind not in KEYS:
         return df
     key = KEYS[kind] + list(extra_key)
     order = F.col(arrival).asc() if keep == "first" else F.col(arrival).desc()
-    kept = one_per_key(df.filter(_complete(key)), key, [order])
-    return kept.unionByName(df.filter(~_complete(key)))
+    alone = df.withColumn("_alone", F.when(~_complete(key), F.monotonically_increasing_id()))
+    return one_per_key(alone, [*key, "_alone"], [order]).drop("_alone")
 
 
 def latest_per_key(df: DataFrame, key: list[str] = KEYS["candles"],

@@ -11,6 +11,7 @@ from tickloom.functions.distribution import cumulative, long_form, value_counts
 from tickloom.functions.lookups import attach
 from tickloom.functions.metrics import (
     mae, mean_error, metrics_from_sums, r2, regression_metrics, rmse)
+from tickloom.functions.scalars import present
 from tickloom.operators.quality import numeric_columns
 
 # The default decision rules.
@@ -49,14 +50,15 @@ def numeric_drift(reference: DataFrame, current: DataFrame,
     f_ref = F.col("cum_n_ref") / F.col("all_n_ref")
     f_cur = F.col("cum_n_cur") / F.col("all_n_cur")
     gap = F.abs(f_ref - f_cur)
-    v, n = F.col("value"), F.col("n_ref")
+    # Distances from the smallest value: no digits are lost where values are large.
+    v, n = F.col("value") - F.col("lowest"), F.col("n_ref")
     mean = F.sum(v * n) / F.sum(n)
     both = (F.col("all_n_ref") > 0) & (F.col("all_n_cur") > 0)
     stats = points.filter(both).groupBy("column").agg(
         F.max("all_n_ref").alias("n_reference"),
         F.max("all_n_cur").alias("n_current"),
         F.max(gap).alias("ks_statistic"),
-        F.coalesce(F.sum(gap * (F.col("next_value") - v)), F.lit(0.0)).alias("wasserstein"),
+        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"),
         (F.sum(v * v * n) / F.sum(n) - mean * mean).alias("_var"))
     deviation = F.sqrt(F.greatest(F.col("_var"), F.lit(0.0)))
     # The deviation is kept away from 0, so a constant reference column still compares.
@@ -64,12 +66,35 @@ def numeric_drift(reference: DataFrame, current: DataFrame,
     stats = stats.withColumn("wasserstein_normed", scaled).withColumn(
         "ks_p_value", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
     large = F.col("n_reference") > LARGE_SAMPLE
-    return stats.select(
+    compared = stats.select(
         "column", "n_reference", "n_current", "ks_statistic", "ks_p_value", "wasserstein",
         "wasserstein_normed",
         F.when(large, "wasserstein").otherwise("ks").alias("method"),
         F.when(large, F.col("wasserstein_normed") > DISTANCE)
         .otherwise(F.col("ks_p_value") < P_VALUE).alias("drifted"))
+    return _with_one_sided(compared, reference, current, columns)
+
+
+def _with_one_sided(compared: DataFrame, reference: DataFrame, current: DataFrame,
+                    columns: list[str]) -> DataFrame:
+    """The compared columns and those without a value on a side: drifted if the other has some.
+
+    A column without values on both sides has not drifted. One row per column throughout.
+    """
+    def known(df: DataFrame, name: str) -> DataFrame:
+        kinds = dict(df.dtypes)
+        counts = [F.count(present(c) if kinds[c] in ("double", "float") else F.col(c)).alias(f"_{i}")
+                  for i, c in enumerate(columns)]
+        return df.agg(*counts).select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias(name)) for i, c in enumerate(columns)])))
+
+    counts = known(reference, "n_reference").join(known(current, "n_current"), "column")
+    bare = counts.filter("n_reference = 0 OR n_current = 0").select(
+        *[F.col(c) if c in ("column", "n_reference", "n_current")
+          else F.lit("no values").alias(c) if c == "method"
+          else (F.greatest("n_reference", "n_current") > 0).alias(c) if c == "drifted"
+          else F.lit(None).cast(kind).alias(c) for c, kind in compared.dtypes])
+    return compared.unionByName(bare)
 
 
 def chi_square_tail(x: float, dof: int) -> float:
@@ -132,12 +157,13 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
     stats = stats.withColumn("chi_square_p_value", chi_square_p_value(
         F.col("chi_square"), F.col("categories") - 1))
     large = F.col("n_reference") > LARGE_SAMPLE
-    return stats.select(
+    compared = stats.select(
         "column", "n_reference", "n_current", "categories", "chi_square", "chi_square_p_value",
         "jensen_shannon",
         F.when(large, "jensen_shannon").otherwise("chi_square").alias("method"),
         F.when(large, F.col("jensen_shannon") > DISTANCE)
         .otherwise(F.col("chi_square_p_value") < P_VALUE).alias("drifted"))
+    return _with_one_sided(compared, reference, current, columns)
 
 
 def data_drift(reference: DataFrame, current: DataFrame, categorical: tuple[str, ...] = (),
@@ -188,14 +214,16 @@ def error_over_time(predictions: DataFrame, window_days: int = 7, step_days: int
     size, step = window_days * DAY_MS, step_days * DAY_MS
     slot = math.gcd(size, step)
     by = list(by)
-    bounds = predictions.groupBy(*by).agg(F.min(ms).alias("_t0"), F.max(ms).alias("_t1"))
+    # Actual values are summed as distances from their mean, which keeps the variance exact.
+    bounds = predictions.groupBy(*by).agg(
+        F.min(ms).alias("_t0"), F.max(ms).alias("_t1"), F.avg(actual).alias("_y0"))
     if by:
         based = attach(predictions, bounds, by, "inner")
     else:
         first = bounds.first()
-        based = predictions.withColumn("_t0", F.lit(first["_t0"])).withColumn("_t1", F.lit(first["_t1"]))
+        based = predictions.withColumns({c: F.lit(first[c]) for c in ("_t0", "_t1", "_y0")})
     error = F.col(actual) - F.col(predicted)
-    y = F.when(error.isNotNull(), F.col(actual))
+    y = F.when(error.isNotNull(), F.col(actual) - F.col("_y0"))
     slots = based.groupBy(*by, "_t0", "_t1", F.expr(f"(`{ms}` - _t0) div {slot}L").alias("_slot")).agg(
         F.count(error).alias("n"), F.sum(F.abs(error)).alias("sa"), F.sum(error * error).alias("ss"),
         F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))

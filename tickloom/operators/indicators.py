@@ -5,18 +5,26 @@ value depends on a fixed number of candles, so the EMA is its own seed (the SMA)
 un-smoothed and OBV is the current volume. `seed="full"` runs the smoothing along the whole
 series. Columns stay NULL until the candles an indicator needs are there.
 
+An unknown price (NULL or NaN) makes every tail indicator NULL whose candles include it, an
+unknown volume that candle's OBV. In full mode a candle with an unknown price or volume has no
+indicators, and everything starts anew after it: what follows is a series of its own, whose
+candles are counted from there.
+
 Needs, in candles: SMA and EMA p, RSI p+1, ADX 2p, MACD 3p-1 (fast p, slow 2p, signal p).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tickloom.functions.scalars import present
 from tickloom.functions.series import (
-    affine_scan, candle_cell, drop_halo, number_rows, scan_rows, with_halo)
+    CELL_ROWS, affine_scan, candle_cell, drop_halo, nearest_known, number_rows, scan_rows, with_halo)
 from tickloom.session import materialize
 from tickloom.schemas import INDICATOR_KINDS, PERIODS, feature_schema, indicator_columns
 
@@ -63,10 +71,11 @@ def tail_arrays(high: np.ndarray, low: np.ndarray, close: np.ndarray, volume: np
     gain, moved = np.clip(change, 0, None), np.abs(change)
     net = np.where((rise > fall) & (rise > 0), rise, 0.0) - np.where(
         (fall > rise) & (fall > 0), fall, 0.0)
+    net[np.isnan(rise) | np.isnan(fall)] = np.nan
     gross = np.abs(net)
 
     def share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        return np.divide(100 * part, whole, out=np.zeros_like(whole), where=whole > 0)
+        return np.divide(100 * part, whole, out=np.where(np.isnan(whole), whole, 0.0), where=whole > 0)
 
     out = {}
 
@@ -209,6 +218,27 @@ def _full(df: DataFrame, keys: list[str], periods, kinds) -> DataFrame:
     return made.selectExpr("*", *last)
 
 
+def _full_in_runs(df: DataFrame, keys: list[str], periods, kinds) -> DataFrame:
+    """Full mode over runs of known candles; `_rn` keeps the position in the whole series.
+
+    The candles are stored once; where none is unknown, a series is one run.
+    """
+    df = materialize(df.withColumns({c: present(c) for c in PRICES}).withColumn("_rn", F.col("rn")))
+    unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in PRICES])
+    if df.filter(unknown).isEmpty():
+        return _full(df, keys, periods, kinds)
+    cell = F.expr(f"rn div {CELL_ROWS}L")
+    marked = nearest_known(df.withColumn("_hole", F.when(unknown, F.col("rn"))), keys, "rn", cell, ["_hole"])
+    run = F.coalesce("_prev__hole", F.lit(0).cast("bigint"))
+    known = marked.filter(~unknown).withColumns({"_run": run, "rn": F.col("rn") - run}).drop("_hole", "_prev__hole")
+    made = _full(known, [*keys, "_run"], periods, kinds)
+    # A position of 0 is before the need of every indicator.
+    return made.unionByName(df.filter(unknown).withColumn("rn", F.lit(0).cast("bigint")), allowMissingColumns=True)
+
+
+PRICES = ("high", "low", "close", "volume")
+
+
 def indicators(candle_rows: DataFrame, periods=PERIODS, seed: str = "tail",
                max_history: int | None = None, kinds: tuple[str, ...] | None = None,
                keys: tuple[str, ...] = ("pair",), step_ms: int = 60_000,
@@ -225,7 +255,10 @@ def indicators(candle_rows: DataFrame, periods=PERIODS, seed: str = "tail",
     kinds = tuple(kinds or INDICATOR_KINDS)
     df = candle_rows if numbered else number_rows(
         candle_rows, keys, ["window_start_ms"], candle_cell(step_ms))
-    made = _tail(df, keys, periods, kinds) if seed == "tail" else _full(df, keys, periods, kinds)
+    if seed == "tail":
+        made = _tail(df, keys, periods, kinds).withColumn("_rn", F.col("rn"))
+    else:
+        made = _full_in_runs(df, keys, periods, kinds)
     out = []
     for c in indicator_columns(periods):
         kind, _, p = c.partition("_")
@@ -235,7 +268,7 @@ def indicators(candle_rows: DataFrame, periods=PERIODS, seed: str = "tail",
             need = needs(int(p))[kind]
             ok = F.col("rn") >= need if max_history is None or need <= max_history else F.lit(False)
             out.append(F.when(ok, F.col(c)).alias(c))
-    return made.select(*candle_rows.columns, *out)
+    return made.select(*[F.col("_rn").alias(c) if c == "rn" else F.col(c) for c in candle_rows.columns], *out)
 
 
 def assemble(indicator_rows: DataFrame, periods=PERIODS) -> DataFrame:

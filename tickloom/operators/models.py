@@ -13,7 +13,8 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor, FMRegressor, GBTRegressor, GeneralizedLinearRegression,
     LinearRegression, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tickloom.functions.lookups import attach
 from tickloom.functions.metrics import adjusted_r2, mae, regression_metrics
@@ -103,26 +104,38 @@ def next_entries(accepted: DataFrame, registry: DataFrame) -> DataFrame:
         features.alias("feature_columns"))
 
 
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry table at `path`; empty if there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMA)
+
+
+BASELINE = "baseline"       # registered without a saved model: its prediction is the price
+
+
 def register(accepted: DataFrame, registry_path: str,
              models: dict[tuple[str, str], PipelineModel] | None = None,
              model_path: str | None = None) -> list[str]:
     """Append the accepted candidates to the registry table, and save their models.
 
     `models` holds them by pair and model name; each is saved as name/version below
-    `model_path` before its registry row appears. Returns the names with their versions.
+    `model_path` before its registry row appears. An entry without its model is refused (the
+    baseline needs none). Returns the names with their versions.
     """
-    spark = accepted.sparkSession
-    try:
-        registry = spark.read.parquet(registry_path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        registry = spark.createDataFrame([], SCHEMA)
+    registry = read_registry(accepted.sparkSession, registry_path)
     entries = materialize(next_entries(accepted, registry))
     # One row per pair and accepted model.
     listed = [r.asDict() for r in entries.select("name", "pair", "model", "version").collect()]
+    saved = models or {}
+    lacking = [e["name"] for e in listed if e["model"] != BASELINE and (e["pair"], e["model"]) not in saved]
+    if lacking or (saved and model_path is None):
+        raise ValueError(f"no model or no place to save it: {', '.join(lacking) or 'model_path'}")
     for entry in listed:
-        model = (models or {}).get((entry["pair"], entry["model"]))
+        model = saved.get((entry["pair"], entry["model"]))
         if model is not None:
             model.write().overwrite().save(f"{model_path}/{entry['name']}/{entry['version']}")
     entries.write.mode("append").parquet(registry_path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.functions.distribution import cumulative, long_form, quantiles, value_counts
 from tickloom.functions.lookups import attach
+from tickloom.functions.scalars import present
 from tickloom.functions.series import (
     candle_cell, drop_halo, nearest_known, number_rows, with_halo)
 
@@ -38,10 +39,29 @@ def drop_sparse_columns(df: DataFrame, drop_threshold: float = 0.8) -> DataFrame
     return df.drop(*[c for c, r in ratios.items() if r is not None and r > drop_threshold])
 
 
+def blank_sparse(df: DataFrame, drop_threshold: float = 0.8, columns: list[str] | None = None,
+                 by: tuple[str, ...] = ("pair",)) -> DataFrame:
+    """Columns that a pair lacks (missing share above the threshold there) become 0 for it.
+
+    A constant tells a model nothing, so this is what dropping the column for that pair alone
+    means while all pairs share one table; no row of the pair is lost to it.
+    """
+    kinds = dict(df.dtypes)
+    columns = columns or [c for c, k in kinds.items() if k in ("double", "float") and c not in by]
+    if drop_threshold >= 1.0 or not columns:
+        return df
+    ratios = df.groupBy(*by).agg(*[
+        F.avg(F.when(present(c).isNull(), 1.0).otherwise(0.0)).alias(f"_lack_{c}") for c in columns])
+    marked = attach(df, ratios, list(by), "left")
+    return marked.select(*[
+        F.when(F.col(f"_lack_{c}") > drop_threshold, F.lit(0.0)).otherwise(F.col(c)).alias(c) if c in columns
+        else F.col(c) for c in df.columns])
+
+
 def fill_missing(df: DataFrame, method: str = "ffill", columns: list[str] | None = None,
                  keys: tuple[str, ...] = ("pair",), order: str = TIME, step_ms: int = 60_000,
                  cell: Column | None = None, time: str | None = None) -> DataFrame:
-    """Fill NULLs along each series, in time order.
+    """Fill NULLs along each series, in time order; NaN counts as missing, as in `missing_ratios`.
 
     ffill: last known value, then the next one at the start; bfill: the reverse;
     interpolate: linear in time, flat at both ends; drop: only complete rows.
@@ -54,6 +74,7 @@ def fill_missing(df: DataFrame, method: str = "ffill", columns: list[str] | None
                    and (method != "interpolate" or kinds[c] in ("double", "float"))]
     if not columns:
         return df
+    df = df.withColumns({c: present(c) for c in columns if kinds[c] in ("double", "float")})
     cell = candle_cell(step_ms, order) if cell is None else cell
     at = (time or order) if method == "interpolate" else None
     back = nearest_known(df.withColumn("_cell", cell), list(keys), order, cell, columns, at=at)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.distribution import cumulative, long_form, quantiles, value_counts
 from tickloom.functions.scalars import trading_date, whole_second
-from tickloom.functions.series import time_cell
+from tickloom.functions.series import CELL_ROWS, time_cell
 
 # What a feature table must look like.
 REQUIRED_COLUMNS = ("pair", "open", "high", "low", "close", "volume", "window_start_ms",
@@ -19,12 +19,13 @@ MIN_ROWS = 10
 
 
 def expectations(df: DataFrame, arrival: str | None = None, strictly: bool = False,
-                 min_rows: int = MIN_ROWS, cell_ms: int = 86_400_000) -> DataFrame:
+                 min_rows: int = MIN_ROWS, cell: int = CELL_ROWS) -> DataFrame:
     """One row per expectation: name, column, success, unexpected count.
 
     Counts come from one pass. The time column must increase within each pair in order of
     `arrival`; equal values fail only when `strictly`. Without an arrival column rows have
-    no order but their time, so repeats are all that can fail.
+    no order but their time, so repeats are all that can fail. Arrival numbers are compared in
+    cells of `cell` numbers, which bounds the rows of a task group.
     """
     kinds = dict(df.dtypes)
     counts = [F.count(F.lit(1)).alias("rows")]
@@ -56,10 +57,10 @@ def expectations(df: DataFrame, arrival: str | None = None, strictly: bool = Fal
         return as_rows(measured, entries + [("increasing", INCREASING, F.lit(False), none)])
     bad = F.col("out_of_order")
     return as_rows(measured, entries).unionByName(as_rows(
-        _not_increasing(df, arrival, strictly, cell_ms), [("increasing", INCREASING, bad == 0, bad)]))
+        _not_increasing(df, arrival, strictly, cell), [("increasing", INCREASING, bad == 0, bad)]))
 
 
-def _not_increasing(df: DataFrame, arrival: str | None, strictly: bool, cell_ms: int) -> DataFrame:
+def _not_increasing(df: DataFrame, arrival: str | None, strictly: bool, cell: int) -> DataFrame:
     """Rows whose time is below the one before, as a single count.
 
     Rows are compared inside cells; across cells only one edge value per cell is.
@@ -69,7 +70,7 @@ def _not_increasing(df: DataFrame, arrival: str | None, strictly: bool, cell_ms:
         repeats = df.filter(F.col(INCREASING).isNotNull()).groupBy("pair", INCREASING).agg(
             (F.count(F.lit(1)) - 1 if strictly else F.lit(0)).alias("n"))
         return repeats.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("out_of_order"))
-    cells = df.filter(F.col(INCREASING).isNotNull()).withColumn("_cell", time_cell(arrival, cell_ms))
+    cells = df.filter(F.col(INCREASING).isNotNull()).withColumn("_cell", time_cell(arrival, cell))
     inside = Window.partitionBy("pair", "_cell").orderBy(arrival)
 
     def fails(now: str, before: Column) -> Column:
@@ -112,11 +113,12 @@ def profile(df: DataFrame, columns: list[str] | None = None, by: tuple[str, ...]
     counted = cumulative(value_counts(long_form(df, columns, by), by), ["n"], by)
     q = quantiles(counted, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by)
     n, v = F.col("n"), F.col("value")
+    off = v - F.col("lowest")       # no digits are lost where values are large
     stats = counted.groupBy(*by, "column").agg(
         F.sum("n").alias("count"),
         F.count(F.lit(1)).alias("distinct_count"),
         (F.sum(v * n) / F.sum("n")).alias("mean"),
-        F.sum(v * v * n).alias("_vv"), F.sum(v * n).alias("_v"),
+        F.sum(off * off * n).alias("_vv"), F.sum(off * n).alias("_v"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.sum(F.when(v == 0, n).otherwise(F.lit(0))).alias("zeros"),
         F.max_by("value", F.struct(n, -v)).alias("top_value"),

@@ -51,6 +51,9 @@ def ship(spark: SparkSession) -> SparkSession:
                         path = os.path.join(folder, name)
                         packed.write(path, os.path.relpath(path, os.path.dirname(top)))
         context.addPyFile(archive)
+        # Workers that stand beside the driver (stateful streams) get no files, but its paths.
+        paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        context.environment["PYTHONPATH"] = os.pathsep.join([*paths, os.path.dirname(top)])
         _SHIPPED.add(context.applicationId)
     return spark
 

@@ -101,10 +101,18 @@ def to_feature_table(df: DataFrame, path: str, checkpoint: str, mode: str = "app
                      run: int = 0) -> DataStreamWriter:
     """Writer that upserts each micro-batch into the feature table.
 
-    With a new checkpoint on an existing table, raise `run`: batches count from 0 again.
+    With a new checkpoint on an existing table, raise `run`: batches count from 0 again. Of
+    several rows of a key in a micro-batch the one with the highest `version` stays, where the
+    stream has that column.
     """
-    return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda rows, batch_id: upsert(rows, batch_id, path, run=run)))
+    def store(rows: DataFrame, batch_id: int) -> None:
+        if "version" in rows.columns:
+            ordered = rows.withColumnRenamed("version", "_arrival")
+            upsert(ordered, batch_id, path, F.col("_arrival"), run)
+        else:
+            upsert(rows, batch_id, path, run=run)
+
+    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
 
 
 def publish_backfill(spark: SparkSession, schema: StructType, landed: str, path: str,
