@@ -12,8 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-GROUP = 400_000         # positions that advance together
-SEGMENT = 400_000       # positions whose forward values are kept
+GROUP = 300_000         # positions that advance together
+SEGMENT = 300_000       # positions whose forward values are kept
 
 
 def groups(lengths: np.ndarray, size: int = GROUP) -> Iterator[np.ndarray]:

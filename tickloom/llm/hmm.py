@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.llm.chains import likelihoods, posteriors
 from tickloom.llm.common import raw, stored, utf8
 
-BLOCK_WORDS = 500_000       # distinct words that a task numbers before it starts a new block
-BLOCK_TOKENS = 6_000_000
+BLOCK_WORDS = 300_000       # distinct words that a task numbers before it starts a new block
+BLOCK_TOKENS = 4_000_000
 END = 0                     # symbol of the end token
 
 
