@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm.common import unused
+
 PIECE = 100_000             # characters after which the next safe place is taken
 SAFE = re.compile(r"(?<=\S)(?=\s)|(?<=[^\W\d_])(?=[0-9])")
 
@@ -93,7 +95,7 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, text_col: str =
     integers as bytes. With `check` an error is raised where decoding does not give the text."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
     shared, schema = _shared(docs, rank_file), _schema(docs, kept)
-    rows = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
+    rows = docs.select(*kept, F.col(text_col).cast("string").alias(unused(docs, "text")))
 
     def run(batches):
         coder, table = _coder(shared.value, pattern)
@@ -117,7 +119,7 @@ def decode_ids(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str =
     """The other columns with `decoded`: the raw bytes that the ids stand for."""
     kept = [c for c in encoded.columns if c not in (ids_col, "decoded")]
     shared, schema = _shared(encoded, rank_file), _schema(encoded, kept)
-    rows = encoded.select(*kept, F.col(ids_col).alias("__ids"))
+    rows = encoded.select(*kept, F.col(ids_col).alias(unused(encoded, "ids")))
 
     def run(batches):
         _, table = _coder(shared.value, pattern)
@@ -136,7 +138,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "t
     made = ("n_tokens", "ids_sha256", "decoded_sha256")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     shared, schema = _shared(docs, rank_file), _schema(docs, kept)
-    rows = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
+    rows = docs.select(*kept, F.col(text_col).cast("string").alias(unused(docs, "text")))
 
     def run(batches):
         coder, table = _coder(shared.value, pattern)

@@ -28,6 +28,13 @@ def utf8(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).cast(pa.string())
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front as long as `df` has such a column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def lowered(column: Column) -> Column:
     """A-Z in lower case; other letters stay as they are."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

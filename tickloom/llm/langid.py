@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.llm.chains import posteriors
-from tickloom.llm.common import stored
+from tickloom.llm.common import stored, unused
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -239,7 +239,7 @@ def label(docs: DataFrame, model: dict | None, text_col: str = "text", spans: bo
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *out],
                                              [*kept, "lang_pred", "score", "lang_spans"][:len(kept) + len(out)])
 
-    return docs.select(*kept, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, f"{schema}, {added}" if schema else added)
+    return docs.select(*kept, F.col(text_col).cast("string").alias(unused(docs, "text"))).mapInArrow(run, f"{schema}, {added}" if schema else added)
 
 
 def _runs(lengths, labels, languages):
