@@ -168,3 +168,21 @@ def test_scoring_a_stream(table, spark, folder):
         return {(r[0], round(r[1], 9), round(r[2], 9)) for r in df.collect()}
 
     assert rounded(spark.read.parquet(f"{folder}/scored")) == rounded(batch) and batch.count() == one.count()
+
+
+def test_training_on_the_full_table_keeps_short_pairs(spark):
+    """The table as it comes from the features plan, unstored, with a pair of 100 candles."""
+    draw = random.Random(5)
+    rows = [(pair, float(draw.randint(50, 99)), 1.0, i * STEP + 1, i) for pair, n in (("LONG", 400), ("NEW", 100)) for i in range(n)]
+    trades = spark.createDataFrame(rows, "product_id string, price double, quantity double, timestamp_ms long, seq long")
+    ready, features, target = training.training_set(feature_table(trades, 60, max_history=60), 5)
+    counts = {r["pair"]: r["count"] for r in ready.groupBy("pair").count().collect()}
+    assert counts["NEW"] > 30 and counts["LONG"] > 300
+    assert "sma_60" in features and "adx_60" not in features and target not in features
+    assert ready.filter(" OR ".join(f"{c} IS NULL" for c in [*features, target])).count() == 0
+    assert set(M.train_families(ready.filter("split = 'train'"), features, target, ["Ridge"])) == {("LONG", "Ridge"), ("NEW", "Ridge")}
+
+
+def test_training_horizon_limits_the_rows(table):
+    with pytest.raises(ValueError):
+        training.run(table, days=1)

@@ -123,3 +123,23 @@ def test_contiguous_folds(spark, n, cells):
     got = [r.fold for r in M.contiguous_folds(line(spark, n), 5).orderBy("window_start_ms").collect()]
     want = [i for i, part in enumerate(np.array_split(np.arange(n), 5)) for _ in part]
     assert got == want
+
+
+def test_nan_is_missing(spark, cells):
+    data = [("A", i * STEP, v) for i, v in enumerate([1.0, float("nan"), None, 4.0])]
+    df = spark.createDataFrame(data, "pair string, window_start_ms long, x double")
+    assert values(P.fill_missing(df, "ffill", step_ms=STEP)) == [1, 1, 1, 4]
+    assert values(P.fill_missing(df, "interpolate", step_ms=STEP)) == [1, 2, 3, 4]
+    assert values(P.fill_missing(df, "drop")) == [1, 4]
+
+
+def test_sparse_columns_of_one_pair(spark):
+    rows = [("A", float(i), float(i)) for i in range(5)] + [("B", float(i), None) for i in range(5)]
+    df = spark.createDataFrame(rows, "pair string, x double, y double")
+    made = P.blank_sparse(df, 0.8)
+    assert values_of(made, "A") == [(i, i) for i in range(5)] and values_of(made, "B") == [(i, 0) for i in range(5)]
+    assert P.drop_sparse_columns(df, 0.8).columns == df.columns
+
+
+def values_of(df, pair):
+    return [(r.x, r.y) for r in df.filter(F.col("pair") == pair).orderBy("x").collect()]

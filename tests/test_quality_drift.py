@@ -175,3 +175,29 @@ def test_feed_gaps_against_brute_force(spark):
     got = {(r.product_id, r.last_ms, r.next_ms) for r in Q.feed_gaps(df, 40).collect()}
     want = {(p, a, b) for p, ts in times.items() for a, b in zip(ts, ts[1:]) if b - a > 40_000}
     assert got == want and want
+
+
+def test_large_values_with_little_spread(spark):
+    """Times in milliseconds: the squares need more digits than a double has."""
+    x = 1.7e12 + np.arange(2000) % 7 * 0.01
+    y = x + 0.02
+    one, two = frame(spark, {"t": x}), frame(spark, {"t": y})
+    row = Q.profile(one, ["t"]).first()
+    assert row.std == pytest.approx(np.std(x - 1.7e12, ddof=1), rel=0.02)
+    drift = X.numeric_drift(one, two, ["t"]).first()
+    assert drift.wasserstein_normed == pytest.approx(np.mean(y - x) / np.std(x - 1.7e12), rel=0.02)
+    rows = spark.createDataFrame([(int(i * X.DAY_MS / 50), float(a), float(a) + 0.01 * (i % 3)) for i, a in enumerate(x)],
+                                 "window_start_ms long, actual double, prediction double")
+    for r in X.error_over_time(rows, 7, 7).collect():
+        part = rows.filter((F.col("window_start_ms") >= r.window_start_ms) & (F.col("window_start_ms") < r.window_end_ms))
+        assert r.r2 == pytest.approx(X.compare_models(part, by=()).first().r2, abs=0.02)
+
+
+def test_columns_without_values_on_a_side(spark):
+    schema = "a double, b double, c double, d string"
+    one = spark.createDataFrame([(1.0, float("nan"), None, "x"), (2.0, None, None, "y")], schema)
+    two = spark.createDataFrame([(1.0, 5.0, None, None), (2.0, 6.0, None, None)], schema)
+    numeric = {r.column: (r.method, r.drifted, r.n_reference, r.n_current) for r in X.numeric_drift(one, two, ["a", "b", "c"]).collect()}
+    assert numeric == {"a": ("ks", False, 2, 2), "b": ("no values", True, 0, 2), "c": ("no values", False, 0, 0)}
+    share = X.drift_share(X.data_drift(one, two, ("d",))).first()
+    assert (share["columns"], share["drifted_columns"]) == (4, 2)

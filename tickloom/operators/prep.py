@@ -11,6 +11,7 @@ from tickloom.functions.lookups import attach
 from tickloom.functions.scalars import present
 from tickloom.functions.series import (
     candle_cell, drop_halo, nearest_known, number_rows, with_halo)
+from tickloom.session import materialize
 
 TIME = "window_start_ms"
 # Name parts that keep a numeric column from being scaled.
@@ -204,8 +205,9 @@ def prepare(df: DataFrame, horizon: int = 5, method: str = "interpolate", scale:
     """Clean, add the target, drop non-features and scale; all pairs at once.
 
     Scaling uses all rows here; to fit on the training rows only, pass scale=False, split,
-    and use `fit_scaler` on the training part.
+    and use `fit_scaler` on the training part. The input is stored first: indicator columns
+    are long expressions that several steps read.
     """
-    clean = handle_missing(df, method, step_ms=step_ms)
+    clean = handle_missing(materialize(df), method, step_ms=step_ms)
     ready = add_target(clean, horizon, step_ms=step_ms).drop("timestamp", "created_at")
     return apply_scaler(ready, fit_scaler(ready, kind=kind)) if scale else ready
