@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.llm import bpe, credentials, decontam, langid, near_dedup
 from tickloom.llm.common import row_key
 from tickloom.llm.queries import fold, table
-from tickloom.session import materialize, ship
+from tickloom.session import materialize, ship, temporary
 
 UNSURE = 0.4        # mean probability of the best language below which a document goes
 
@@ -65,5 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of `sf_dir`."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        # What a stage stores on its way goes when its result is written.
+        with temporary(spark):
+            docs = materialize(stage(spark, docs, sf_dir), keep=True)
     return docs
