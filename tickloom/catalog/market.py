@@ -316,3 +316,13 @@ def duplicate_monitor(spark, sf):
   make_timestamp(max(window_start_ms) * 1000) AS last_candle FROM bars GROUP BY 1, 2""")
 def consistency_by_day(spark, sf):
     return Q.consistency_by_day(C.candles(trades(spark, sf), HOUR))
+
+
+@query(f"""WITH {TRADES}, counted AS (SELECT event_type AS pair, (epoch_us(ts) // 1000 // 3600000) * 3600000 AS window_start_ms,
+  count(*) AS trades, {r('sum(value * CAST(json_extract_string(props, $$$.k$$) AS DOUBLE))')} AS turnover FROM events GROUP BY ALL),
+bars AS ({candle_sql(HOUR)})
+SELECT {CANDLE_OUT}, trades, turnover FROM bars JOIN counted USING (pair, window_start_ms)""")
+def candles_with_own_aggregates(spark, sf):
+    """Aggregates of one's own beside the five of a candle."""
+    own = [F.count(F.lit(1)).alias("trades"), F.sum(F.col("price") * F.col("quantity")).alias("turnover")]
+    return C.candles(trades(spark, sf), HOUR, extra=own)

@@ -112,6 +112,27 @@ def next_versions(spark, sf):
     return M.next_entries(_decisions(spark, sf).filter("register"), _registry(spark, sf)).drop("feature_columns")
 
 
+# --- models in closed form ---------------------------------------------------------------
+
+@query(f"""WITH {FORECASTS}, rows AS (SELECT pair, window_start_ms, close AS x, target AS y FROM targets WHERE target IS NOT NULL),
+fits AS (SELECT pair, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx FROM rows GROUP BY pair),
+models AS (SELECT *, 'LinearRegression' AS model, sxy / sxx AS beta FROM fits
+           UNION ALL SELECT *, 'Ridge', sxy / (sxx + 1) FROM fits)
+SELECT pair, model, window_start_ms, {r('y')} AS actual, {r('my + beta * (x - mx)')} AS prediction
+FROM rows JOIN models USING (pair)""")
+def linear_predictions(spark, sf):
+    """Least squares and ridge on one feature, every pair in one pass; every row is scored."""
+    rows = materialize(_targets(spark, sf).filter("target IS NOT NULL"))
+    return M.predict_linear(M.fit_linear(rows, ["close"], "target"), rows, ["close"], "target")
+
+
+@query(f"WITH {FORECASTS} SELECT pair, model, {METRICS}, {r('max(abs(actual - prediction))')} AS worst FROM forecasts GROUP BY pair, model")
+def leaderboard_with_own_metric(spark, sf):
+    """A metric of one's own beside the built-in ones."""
+    worst = F.max(F.abs(F.col("actual") - F.col("prediction"))).alias("worst")
+    return M.leaderboard(forecasts(_targets(spark, sf), "target"), extra=[worst])
+
+
 # --- trained models: no SQL twin ------------------------------------------------------
 
 NAMES = ["LinearRegression", "Ridge", "Lasso", "DecisionTreeRegressor"]

@@ -121,3 +121,27 @@ def stream_indicators_revised(spark, sf):
     rows = flows.topic(own, schema, f"{home}/candles", max_files=1)
     finish(flows.to_feature_table(indicator_stream(rows, max_history=60, arrival="arrival"), f"{home}/table", f"{home}/state"))
     return read_feature_table(spark, f"{home}/table")
+
+
+@query(f"""WITH {TRADES} SELECT product_id, {r('price')} AS price, {r('quantity')} AS quantity, timestamp_ms, seq
+FROM trades WHERE seq % 3 <> 0""")
+def stream_without_empty(spark, sf):
+    """Rows without a value leave the stream."""
+    home = work_folder(spark)
+    rows = event_stream(spark, sf).withColumn("price", F.when(F.col("seq") % 3 != 0, F.col("price")))
+    finish(flows.to_topic(flows.not_empty(rows, "price"), f"{home}/state", f"{home}/topic", key="product_id"))
+    return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), TRADE_MESSAGE)
+
+
+@query(f"WITH {TRADES} SELECT 2 * count(*) AS rows_in, count(DISTINCT (product_id, timestamp_ms)) AS rows_out FROM trades")
+def stream_dedup_counts(spark, sf):
+    """Rows before and after the removal of repeats, from the progress events."""
+    home = work_folder(spark)
+    twice = event_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    seen = flows.dedup_counts(twice, "trades")
+    running = flows.to_topic(seen.drop("event_time"), f"{home}/state", f"{home}/topic", key="product_id").trigger(
+        availableNow=True).start()
+    running.awaitTermination()
+    found = [p["observedMetrics"] for p in running.recentProgress if p["observedMetrics"]]
+    rows = [sum(m[f"trades_{side}"]["rows"] for m in found if f"trades_{side}" in m) for side in ("in", "out")]
+    return spark.createDataFrame([tuple(rows)], "rows_in long, rows_out long")

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.lookups import attach
 from tickloom.session import materialize
 
-RANGES = 256
+RANGE_ROWS = 50_000             # distinct values that a range should hold
+MOST_RANGES = 8_192             # cut points of a column: 64 KB
 
 
 def long_form(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -32,16 +33,19 @@ def value_counts(values: DataFrame, by: list[str] = (), sums: dict[str, Column]
 
 
 def cumulative(counts: DataFrame, counters: list[str], by: list[str] = (),
-               ranges: int = RANGES) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
     """Add `cum_<counter>` (at or below the value), `all_<counter>`, `next_value` and `lowest`,
     the smallest value of the series.
 
-    The counts are read three times and kept once. The cut points are one short array per
+    The counts are read three times and kept once; their number gives the number of ranges (a
+    power of two), unless it is given. The cut points are one short array per
     column, so their size is bounded by the width of the table; with `by` groups it is
     checked.
     """
     series = [*by, "column"]
     counts = materialize(counts)
+    if ranges is None:
+        ranges = 1 << min(MOST_RANGES.bit_length() - 1, max(4, (counts.count() // RANGE_ROWS).bit_length()))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = counts.groupBy(*series).agg(
         F.array_distinct(F.percentile_approx("value", shares, ranges * 20)).alias("_cuts"))

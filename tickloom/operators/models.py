@@ -6,6 +6,8 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -193,6 +195,78 @@ def train_families(train: DataFrame, features: list[str], target: str,
         return dict(pool.map(fit, todo))
 
 
+# Ridge penalty of the families that one pass over sums of products fits.
+CLOSED_FORM = {"LinearRegression": 0.0, "Ridge": 1.0}
+
+
+def fit_linear(train: DataFrame, features: list[str], target: str,
+               penalties: dict[str, float] | None = None) -> DataFrame:
+    """Least squares for every pair at once: pair, model, n, intercept, coefficients.
+
+    Every task adds up products of its rows per pair, Spark adds those up, and each pair's
+    equations are solved where its few sums meet; the number of jobs does not depend on the
+    number of pairs. The penalty is on the sum of squared coefficients, not on the
+    intercept. Rows with an unknown value are left out. Sums are of distances from the pair's
+    first row in the task, so that large values lose no digits.
+    """
+    penalties = penalties or CLOSED_FORM
+    names, size = [*features, target], len(features) + 1
+    rows = train.select("pair", *[F.col(c).cast("double").alias(c) for c in names]).na.drop()
+
+    def add_up(batches):
+        sums: dict[str, list] = {}
+        for batch in batches:
+            pairs = np.array(batch.column(0).to_pylist(), dtype=object)
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]])
+            for pair in sorted(set(pairs.tolist())):
+                own = values[pairs == pair]
+                have = sums.setdefault(pair, [own[0].copy(), 0, np.zeros(size), np.zeros((size, size))])
+                off = own - have[0]
+                have[1] += len(off)
+                have[2] += off.sum(axis=0)
+                have[3] += off.T @ off
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.string()), *(pa.array([np.asarray(s[i], float).tobytes() for s in sums.values()], pa.binary())
+                                                  for i in range(4))], ["pair", "base", "n", "sums", "products"])
+
+    def solve(table: pa.Table) -> pa.Table:
+        parts = [[np.frombuffer(v) for v in row.values()] for row in table.drop(["pair"]).to_pylist()]
+        base, n, first, second = parts[0][0], 0.0, np.zeros(size), np.zeros((size, size))
+        for b, m, s, p in parts:
+            shift = b - base
+            n += m[0]
+            second += p.reshape(size, size) + np.outer(s, shift) + np.outer(shift, s) + m[0] * np.outer(shift, shift)
+            first += s + m[0] * shift
+        centred, mean = second - np.outer(first, first) / n, base + first / n
+        found = []
+        for model, penalty in penalties.items():
+            left = centred[:-1, :-1] + penalty * np.eye(size - 1)
+            beta = np.linalg.lstsq(left, centred[:-1, -1], rcond=None)[0]
+            found.append((model, int(n), float(mean[-1] - mean[:-1] @ beta), beta.tolist()))
+        pair = table["pair"][0].as_py()
+        model, count, intercept, beta = zip(*found)
+        return pa.table({"pair": pa.array([pair] * len(found), pa.string()), "model": pa.array(model, pa.string()),
+                         "n": pa.array(count, pa.int64()), "intercept": pa.array(intercept, pa.float64()),
+                         "coefficients": pa.array(beta, pa.list_(pa.float64()))})
+
+    partial = rows.mapInArrow(add_up, "pair string, base binary, n binary, sums binary, products binary")
+    return partial.groupBy("pair").applyInArrow(
+        solve, "pair string, model string, n long, intercept double, coefficients array<double>")
+
+
+def predict_linear(coefficients: DataFrame, df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Predictions of all models of `fit_linear`, in the columns of `predict_all`.
+
+    The coefficients are joined as one list per pair, broadcast while that is small.
+    """
+    models = coefficients.groupBy("pair").agg(F.collect_list(F.struct("model", "intercept", "coefficients")).alias("_models"))
+    rows = attach(df, models, ["pair"], "inner", row_bytes=64 * (len(features) + 4))
+    made = rows.select("pair", "window_start_ms", F.col(target).alias("actual"),
+                       F.array(*[F.col(c).cast("double") for c in features]).alias("_x"), F.explode("_models").alias("_m"))
+    value = F.aggregate(F.zip_with("_x", "_m.coefficients", lambda x, b: x * b), F.col("_m.intercept"), lambda a, v: a + v)
+    return made.select("pair", F.col("_m.model").alias("model"), "window_start_ms", "actual", value.alias("prediction"))
+
+
 def predict_all(models: dict[tuple[str, str], PipelineModel], df: DataFrame, target: str
                 ) -> DataFrame:
     """Predictions of all models on the rows of their pair, in one DataFrame."""

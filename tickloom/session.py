@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -78,15 +79,39 @@ def work_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/tickloom-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, by: str | None = None, spread: Column | None = None) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Delete, at its end, what `materialize` has stored inside it (but for `keep`).
+
+    Results that are still needed have to be stored with keep=True, or written, before.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, by: str | None = None, spread: Column | None = None,
+                keep: bool = False) -> DataFrame:
     """Compute `df` once, as a Parquet table in the shared folder, and return that table.
 
     For results that several later steps read: each reads only the columns it needs, Spark
     knows the size, and losing an executor costs no recomputation. With `by` every value of
     that column gets a directory of its own, for steps that read one value at a time;
-    `spread` splits large values over several tasks and files.
+    `spread` splits large values over several tasks and files. Inside `temporary` the table
+    goes when that ends, unless it is to be kept.
     """
     path = work_folder(df.sparkSession)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     if by:
         # Empty tables leave no directory behind, so the schema is given on reading.
         parts = [by] if spread is None else [by, spread]
