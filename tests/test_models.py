@@ -186,3 +186,30 @@ def test_training_on_the_full_table_keeps_short_pairs(spark):
 def test_training_horizon_limits_the_rows(table):
     with pytest.raises(ValueError):
         training.run(table, days=1)
+
+
+def test_linear_models_of_many_pairs_in_one_pass(spark):
+    """Against numpy, with large offsets; the number of jobs does not follow the pairs."""
+    rng = np.random.default_rng(4)
+    rows, wanted = [], {}
+    for k in range(200):
+        x = rng.normal(size=(12, 2)) + 1e7
+        y = x @ [2.0, -1.0] + k + rng.normal(size=12) * 0.1
+        rows += [(f"P{k}", i, float(a), float(b), float(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+        mx, my = x.mean(axis=0), y.mean()
+        beta = np.linalg.solve((x - mx).T @ (x - mx) + np.eye(2), (x - mx).T @ (y - my))
+        wanted[f"P{k}"] = my + (x - mx) @ beta
+    df = spark.createDataFrame(rows, "pair string, window_start_ms long, a double, b double, y double").repartition(7)
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"linear{n}", "")
+        some = df.filter(F.substring("pair", 2, 9).cast("int") < n)
+        found = M.predict_linear(M.fit_linear(some, ["a", "b"], "y"), some, ["a", "b"], "y").collect()
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"linear{n}"))
+
+    (few, one), (all_, two) = jobs(5), jobs(200)
+    spark.sparkContext.setJobGroup("tests", "")
+    assert len(few) == 5 * 12 * 2 and len(all_) == 200 * 12 * 2 and two <= one + 2
+    for r in all_:
+        if r.model == "Ridge":
+            assert r.prediction == pytest.approx(wanted[r.pair][r.window_start_ms], abs=1e-4)

@@ -30,3 +30,15 @@ def test_queries_without_the_training_data_operators(folder):
                           cwd=folder, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
                           capture_output=True, text=True, timeout=120)
     assert done.stdout.split()[1:] == ["False"] and int(done.stdout.split()[0]) > 100, done.stderr
+
+
+def test_stored_results_go_with_their_scope(spark):
+    from tickloom.session import materialize, temporary
+
+    with temporary(spark):
+        gone = materialize(spark.range(5).toDF("x"))
+        kept = materialize(gone, keep=True)
+        paths = [df.inputFiles()[0].removeprefix("file:").replace("//", "/") for df in (gone, kept)]
+        assert all(os.path.exists(p) for p in paths)
+    assert [os.path.exists(p) for p in paths] == [False, True]
+    assert kept.count() == 5

@@ -1,11 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import iso_to_ms, registered_name, seconds_to_cursor, whole_second
 from tickloom.operators import selection as S
 from tickloom.sinks import tables as K
-from tickloom.sources import decode, tables as T
+from tickloom.sources import decode, tables as T, versions as V
 
 PAGE = "product_id string, request_no long, body string"
 
@@ -93,8 +94,32 @@ def test_upsert_keeps_the_last_version_and_prunes(spark, folder):
     assert T.read_feature_table(spark, f"{folder}-compact").orderBy("pair", "window_start_ms").collect() == rows
     one = T.read_feature_table(spark, folder, "ETH/EUR", 0)
     assert [r.close for r in one.collect()] == [3]
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "isnotnull(pair" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(one.inputFiles()) == 1 and "ETH" in one.inputFiles()[0]
+
+
+def test_many_batches_stay_readable(spark, folder):
+    """Folders of a partition are merged; a merged table is read without a shuffle."""
+    for batch in range(24):
+        K.upsert(feature_rows(spark, batch, 3 + batch % 2), batch, folder, merge_after=8)
+        folders = V.read(spark, folder)["partitions"][0][2]
+        assert len(folders) <= 7
+    rows = [r.close for r in T.read_feature_table(spark, folder).orderBy("window_start_ms").collect()]
+    assert rows == [23, 23, 23, 23]
+    gone = V.vacuum(spark, folder)
+    assert gone and [r.close for r in T.read_feature_table(spark, folder).orderBy("window_start_ms").collect()] == rows
+    K.compact(spark, folder, f"{folder}-one")
+    plan = T.read_feature_table(spark, f"{folder}-one")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_swap(spark, folder):
+    for name in ("old", "new"):
+        feature_rows(spark, 1.0 if name == "old" else 2.0).write.parquet(f"{folder}/{name}")
+    K.swap(spark, f"{folder}/new", f"{folder}/old", f"{folder}/before")
+    assert {r.close for r in spark.read.parquet(f"{folder}/old").collect()} == {2.0}
+    assert {r.close for r in spark.read.parquet(f"{folder}/before").collect()} == {1.0}
+    with pytest.raises(ValueError):
+        K.swap(spark, f"{folder}/absent", f"{folder}/old", f"{folder}/x")
 
 
 def test_pairs_that_look_like_numbers_stay_text(spark, folder):

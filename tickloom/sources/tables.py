@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.operators.dedup import KEYS, one_per_key
+from tickloom.sources import versions
 
 DAY_MS = 86_400_000
 
@@ -24,21 +27,43 @@ def backfill_progress(trades: DataFrame, last_n_days: int) -> DataFrame:
         "percent", F.least(F.lit(100.0), F.col("days_covered") / F.lit(float(last_n_days)) * 100.0))
 
 
+def read_partitions(spark: SparkSession, path: str, partitions: list[list], schema: dict) -> DataFrame:
+    """The current rows of the listed partitions, with `month`.
+
+    Partitions of one folder hold each key once and are read as they are; only those of several
+    folders are compared by key, the newest folder first.
+    """
+    kinds = T.StructType.fromJson(schema)
+    files = T.StructType([*kinds.fields, T.StructField("run", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+
+    def rows(some: list[list]) -> DataFrame:
+        paths = [versions.partition_path(spark, path, f, p, m) for p, m, folders in some for f in folders]
+        found = spark.read.option("basePath", path).schema(files).parquet(*paths) if paths else spark.createDataFrame([], files)
+        return found.select(*files.names)
+
+    whole = rows([p for p in partitions if len(p[2]) == 1]).drop("run", "batch_id")
+    several = [p for p in partitions if len(p[2]) > 1]
+    if not several:
+        return whole
+    return whole.unionByName(one_per_key(rows(several), KEYS["candles"], [F.desc("run"), F.desc("batch_id")]).drop("run", "batch_id"))
+
+
 def read_feature_table(spark: SparkSession, path: str, pair: str | None = None,
                        from_ms: int | None = None) -> DataFrame:
     """The current rows of the feature table at `path` (see sinks.tables.upsert).
 
-    Pair and month are directories, so both filters prune files before anything is read.
+    The newest version lists the folders of each pair and month; the filters choose among
+    them before any folder is listed.
     """
-    # Directory names alone would turn a pair such as "007" into a number.
-    found = spark.read.parquet(path).schema
-    table = spark.read.schema(T.StructType([
-        T.StructField("pair", T.StringType()) if f.name == "pair" else f for f in found.fields])).parquet(path)
+    path = path.rstrip("/")
+    state = versions.read(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no feature table at {path}")
+    chosen = state["partitions"]
     if pair is not None:
-        table = table.filter(F.col("pair") == pair)
+        chosen = [p for p in chosen if p[0] == pair]
     if from_ms is not None:
-        month = F.date_format(F.timestamp_millis(F.lit(from_ms)), "yyyyMM").cast("int")
-        table = table.filter((F.col("month") >= month)
-                             & (F.col("window_start_ms") >= from_ms))
-    newest = one_per_key(table, KEYS["candles"], [F.desc("run"), F.desc("batch_id"), F.desc("_arrival")])
-    return newest.drop("run", "batch_id", "month", "_arrival")
+        day = datetime.fromtimestamp(from_ms / 1000, timezone.utc)
+        chosen = [p for p in chosen if p[1] >= day.year * 100 + day.month]
+    table = read_partitions(spark, path, chosen, state["schema"]).drop("month")
+    return table if from_ms is None else table.filter(F.col("window_start_ms") >= from_ms)
