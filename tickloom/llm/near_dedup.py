@@ -14,8 +14,10 @@ A group of copies does not cause all its pairs:
 2. In every band, and in every two and three neighbouring bands together (whose members are
    more alike), the members are confirmed against one leader only.
 3. Links are contracted to components. Of a band that still holds several components, members
-   outside its largest one are confirmed against all others in the band that lie in another
-   component. So every candidate pair is confirmed, already joined, or left out by the estimate.
+   outside its largest one are compared with all others in the band that lie in another
+   component, by samples of their sets (whole ones up to 255 shingles) where they meet, and
+   confirmed if the samples allow. So every candidate pair is confirmed, already joined, or
+   left out by an estimate.
 
 A node's texts travel to its leader in parts of bounded size, so a leader with very many
 members is many tasks. Nothing is collected on the driver but counts.
@@ -40,6 +42,7 @@ from tickloom.llm.common import raw, stored
 WORDS = 5                   # words of a shingle
 ROWS, BANDS = 3, 32         # coordinates of a band, bands
 COORDINATES = 256           # all coordinates; a multiple of 64
+SAMPLE = 256                # smallest shingle hashes kept as a sample; below that, the whole set
 DEVIATIONS = 5              # how far below `percent` an estimate may lie
 CACHED_WORDS = 500_000      # word hashes that a task keeps
 PART_SHINGLES = 400_000     # shingles that are compared with one leader in one part
@@ -137,8 +140,24 @@ def alike(x: Column, y: Column, percent: int) -> Column:
     return F.lit(COORDINATES) - differ >= least
 
 
+def sample(shingle: np.ndarray) -> np.ndarray:
+    """The SAMPLE smallest of the shingles' 32-bit hashes, in order."""
+    return np.unique((_mix64(shingle) >> np.uint64(32)).astype(np.uint32).view(np.int32))[:SAMPLE]
+
+
+def overlap(x: Column, y: Column, percent: int) -> Column:
+    """Whether two samples do not rule out `percent` %. Whole sets are compared as they are, but
+    for one shingle that may share its hash with another; else the smallest hashes of both
+    together are a random part of the union."""
+    both, union = F.array_intersect(x, y), F.sort_array(F.array_union(x, y))
+    share = percent / 100
+    least = SAMPLE * share - DEVIATIONS * (SAMPLE * share * (1 - share)) ** 0.5
+    return F.when((F.size(x) < SAMPLE) & (F.size(y) < SAMPLE), 100 * F.size(both) >= percent * F.size(union) - 100).otherwise(
+        F.size(F.array_intersect(both, F.slice(union, 1, SAMPLE))) >= least)
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), band keys and bits of every row."""
+    """doc_id, n_shingles, digest of the set (null if empty), band keys, bits and sample of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -158,10 +177,12 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([
                     some.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                              for s in sets], pa.binary()), lists(bands(made)), lists(bits(made))],
-                    ["doc_id", "n_shingles", "digest", "bands", "bits"])
+                              for s in sets], pa.binary()), lists(bands(made)), lists(bits(made)),
+                    pa.array([sample(s) for s in sets], pa.list_(pa.int32()))],
+                    ["doc_id", "n_shingles", "digest", "bands", "bits", "sample"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>, "
+                                "sample array<int>")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, percent: int, id_col: str,
@@ -272,7 +293,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = located.groupBy("band", "component").agg(F.count("*").alias("n"))
     mixed = held.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                      F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    open_ = stored(located.join(mixed, "band").join(nodes, "id"))
+    unsettled = located.join(mixed, "band")
+    samples = rows.select(F.col("doc_id").alias("id"), "sample").join(unsettled.select("id").distinct(), "id").dropDuplicates(["id"])
+    open_ = unsettled.join(nodes, "id").join(samples, "id")
     few, all_ = open_.filter("component <> largest").alias("x"), open_.alias("y")
     # A pair that shares several bands comes out of the first of them.
     first_band = F.get(F.col("x.bands"), F.array_position(F.zip_with(
@@ -280,7 +303,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = few.join(all_, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component"))
                    & ((F.col("x.id") < F.col("y.id")) | (F.col("y.component") == F.col("y.largest")))
                    & _near(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
-                   & alike(F.col("x.bits"), F.col("y.bits"), percent) & (first_band == F.col("x.band")))
+                   & alike(F.col("x.bits"), F.col("y.bits"), percent) & (first_band == F.col("x.band"))
+                   & overlap(F.col("x.sample"), F.col("y.sample"), percent))
     rest = stored(met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(
         stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     if not rest.isEmpty():
