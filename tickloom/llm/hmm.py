@@ -27,6 +27,7 @@ from tickloom.llm.common import raw, stored, utf8
 
 BLOCK_WORDS = 300_000       # distinct words that a task numbers before it starts a new block
 BLOCK_TOKENS = 4_000_000
+SLICE = 500                 # texts that a task splits into words before it hands them on
 END = 0                     # symbol of the end token
 
 
@@ -62,23 +63,24 @@ def number_words(docs: DataFrame, id_col: str, text_col: str, training: Column)
         names = ["block", "doc_id", "training", "ids", "word", "local_id", "n"]
         for batch in batches:
             schema = batch.column(0).type
-            block = (task << 24) | seq
-            made = []
-            for text, train in zip(raw(batch.column(1)), batch.column(2).to_pylist()):
-                found = (text or b"").lower().split()
-                ids = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
-                made.append(ids.tobytes())
-                tokens += len(ids)
-                if train:
-                    counted.append(ids)
-            rows = batch.num_rows
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block] * rows, pa.int64()), batch.column(0), batch.column(2),
-                pa.array(made, pa.binary()), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int32()),
-                pa.nulls(rows, pa.int64())], names)
-            if len(numbers) > BLOCK_WORDS or tokens > BLOCK_TOKENS:
-                yield from words()
-                numbers, counted, tokens, seq = _Numbers(), [], 0, seq + 1
+            for at in range(0, batch.num_rows, SLICE):
+                some, made = batch.slice(at, SLICE), []
+                block = (task << 24) | seq
+                for text, train in zip(raw(some.column(1)), some.column(2).to_pylist()):
+                    found = (text or b"").lower().split()
+                    ids = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
+                    made.append(ids.tobytes())
+                    tokens += len(ids)
+                    if train:
+                        counted.append(ids)
+                rows = some.num_rows
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * rows, pa.int64()), some.column(0), some.column(2),
+                    pa.array(made, pa.binary()), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int32()),
+                    pa.nulls(rows, pa.int64())], names)
+                if len(numbers) > BLOCK_WORDS or tokens > BLOCK_TOKENS:
+                    yield from words()
+                    numbers, counted, tokens, seq = _Numbers(), [], 0, seq + 1
         if schema is not None and numbers:
             yield from words()
 
@@ -122,20 +124,21 @@ def encode(docs: DataFrame, id_col: str, text_col: str, training: Column, top_wo
                       F.when(F.col("rank").isNotNull(), 0.0).otherwise(F.log10(
                           (F.col("c") + 1) / (F.coalesce("class_n", F.lit(0)) + F.coalesce("class_v", F.lit(0)) + 1)
                       )).alias("within")))
+    kind_of_symbol = np.uint16 if len(counts) <= 1 << 16 else np.int32
     end_score = float(np.log10((n_train + 1) / denominator))
 
     def run(left, right):
         order = np.argsort(right.column("local_id").to_numpy())
         c = right.column("c").to_numpy()[order]
-        symbol = right.column("symbol").to_numpy()[order].astype(np.int32)
+        symbol = right.column("symbol").to_numpy()[order].astype(kind_of_symbol)
         within = right.column("within").to_numpy()[order]
         base = np.log10((c + 1) / denominator)
         out = []
-        for ids in left.column("ids").to_pylist():
-            ids = np.frombuffer(ids, np.uint32)
+        for ids in left.column("ids"):
+            ids = np.frombuffer(ids.as_buffer(), np.uint32)
             out.append((len(ids) + 1, int((c[ids] > 0).sum()) + (n_train > 0),
                         float(base[ids].sum()) + end_score, float(within[ids].sum()),
-                        np.append(symbol[ids], np.int32(END)).tobytes()))
+                        np.append(symbol[ids], kind_of_symbol(END)).tobytes()))
         columns = zip(*out)
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
         return pa.table([left.column("doc_id"), left.column("training"),
@@ -149,10 +152,15 @@ def encode(docs: DataFrame, id_col: str, text_col: str, training: Column, top_wo
     return stored(encoded), counts, train_tokens
 
 
-def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    parts = column.to_pylist()
-    lengths = np.array([len(p) // 4 for p in parts], np.int64)
-    return lengths, np.frombuffer(b"".join(parts), np.int32)
+def _sequences(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and symbols (of an alphabet of `size`) of a batch, without a copy."""
+    kind = np.dtype(np.uint16 if size <= 1 << 16 else np.int32)
+    _, ends, data = column.buffers()
+    offsets = np.frombuffer(ends, np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    offsets = offsets[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    if not len(column) or data is None:
+        return np.zeros(len(column), np.int64), np.zeros(0, kind)
+    return np.diff(offsets) // kind.itemsize, np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(kind)
 
 
 def train(encoded: DataFrame, counts: np.ndarray, states: int, iterations: int, seed: int = 7):
@@ -177,7 +185,7 @@ def train(encoded: DataFrame, counts: np.ndarray, states: int, iterations: int,
             first, trans, emit = model.value
             total = np.zeros((size + states + 1, states))
             for batch in batches:
-                lengths, symbols = _sequences(batch.column(0))
+                lengths, symbols = _sequences(batch.column(0), size)
                 starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
                 for at, sequence, gamma, moves, _ in posteriors(lengths, lambda p: emit[symbols[p]], first, trans):
                     seen = symbols[at]
@@ -222,7 +230,7 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     def score(batches):
         first, trans, emit = model.value
         for batch in batches:
-            lengths, symbols = _sequences(batch.column("symbols"))
+            lengths, symbols = _sequences(batch.column("symbols"), len(emit))
             logs = likelihoods(lengths, lambda p: emit[symbols[p]], first, trans) / np.log(10)
             kept = [batch.column(c) for c in NAMES[:-1]]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(logs + batch.column("within").to_numpy())], list(NAMES))

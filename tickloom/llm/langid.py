@@ -32,6 +32,7 @@ WORD = re.compile(r"[^\W\d_]+")
 SIZE = 1 << 14              # hashed features
 LEXICON = 2_000             # words of a language that have a feature of their own
 CACHED_WORDS = 200_000      # words whose scores a task keeps from one batch to the next
+TOGETHER = 2_500            # texts that are labelled together
 SLICE = 200                 # texts that are split into words together
 STICKY = 3.0                # first guess of the gain of staying in a language
 FIRM = 4.0                  # largest transition weight: whole documents carry one label, but texts do switch
@@ -215,29 +216,33 @@ def label(docs: DataFrame, model: dict | None, text_col: str = "text", spans: bo
         words = Words(model["weights"], model["lexicon"])
         first = np.full(k, 1 / k, np.float32)
         trans = np.exp(model["moves"] - model["moves"].max(axis=1, keepdims=True)).astype(np.float32)
-        for batch in batches:
-            if len(words.numbers) > CACHED_WORDS:
-                words.forget()
-            # Words of a few texts at a time, as numbers from there on.
-            parts = [words.number([words_of(t) for t in batch.column(len(kept)).slice(at, SLICE).to_pylist()])
-                     for at in range(0, batch.num_rows, SLICE)]
-            lengths = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-            flat = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
-            del parts
-            sums, runs = np.zeros((len(lengths), k)), {}
-            for at, sequence, gamma, _, _ in posteriors(lengths, lambda p: words.potentials[flat[p]], first, trans):
-                for i in range(k):
-                    sums[:, i] += np.bincount(sequence, gamma[:, i], minlength=len(lengths))
-                if spans:
-                    runs.update(zip(at.tolist(), gamma.argmax(axis=1).tolist()))
-            share = sums / np.maximum(lengths, 1)[:, None]
-            best = share.argmax(axis=1)
-            out = [pa.array([languages[b] if n else UNDETERMINED for b, n in zip(best, lengths)], pa.string()),
-                   pa.array(np.clip(np.where(lengths > 0, share[np.arange(len(best)), best], 0.0), 0, 1))]
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOGETHER):
+                yield labelled(whole.slice(start, TOGETHER), words, first, trans, languages)
+
+    def labelled(batch, words, first, trans, languages):
+        k = len(languages)
+        if len(words.numbers) > CACHED_WORDS:
+            words.forget()
+        # Words of a few texts at a time, as numbers from there on.
+        parts = [words.number([words_of(t) for t in batch.column(len(kept)).slice(at, SLICE).to_pylist()])
+                 for at in range(0, batch.num_rows, SLICE)]
+        lengths, flat = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        del parts
+        sums, runs = np.zeros((len(lengths), k)), {}
+        for at, sequence, gamma, _, _ in posteriors(lengths, lambda p: words.potentials[flat[p]], first, trans):
+            for i in range(k):
+                sums[:, i] += np.bincount(sequence, gamma[:, i], minlength=len(lengths))
             if spans:
-                out.append(_runs(lengths, runs, languages))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *out],
-                                             [*kept, "lang_pred", "score", "lang_spans"][:len(kept) + len(out)])
+                runs.update(zip(at.tolist(), gamma.argmax(axis=1).tolist()))
+        share = sums / np.maximum(lengths, 1)[:, None]
+        best = share.argmax(axis=1)
+        out = [pa.array([languages[b] if n else UNDETERMINED for b, n in zip(best, lengths)], pa.string()),
+               pa.array(np.clip(np.where(lengths > 0, share[np.arange(len(best)), best], 0.0), 0, 1))]
+        if spans:
+            out.append(_runs(lengths, runs, languages))
+        return pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *out],
+                                          [*kept, "lang_pred", "score", "lang_spans"][:len(kept) + len(out)])
 
     return docs.select(*kept, F.col(text_col).cast("string").alias(unused(docs, "text"))).mapInArrow(run, f"{schema}, {added}" if schema else added)
 
