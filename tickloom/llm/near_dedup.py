@@ -113,7 +113,7 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
 
 def bands(signature: np.ndarray) -> np.ndarray:
     """One 64-bit key per band."""
-    parts = signature[:, :ROWS * BANDS].reshape(len(signature), -1, ROWS).astype(np.uint64)
+    parts = signature[:, :ROWS * BANDS].reshape(len(signature), BANDS, ROWS).astype(np.uint64)
     keys = np.arange(parts.shape[1], dtype=np.uint64)[None, :] * _ODD[4]
     for i in range(ROWS):
         keys = _mix64(keys + parts[:, :, i] * _ODD[i] + np.uint64(1))
