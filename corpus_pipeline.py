@@ -22,7 +22,8 @@ UNSURE = 0.4        # mean probability of the best language below which a docume
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose language cannot be told (no letters), or not with some certainty."""
     ship(spark)
-    model = langid.fit(docs, F.coalesce(fold(4) != 2, F.lit(True)))
+    with temporary(spark):
+        model = langid.fit(docs, F.coalesce(fold(4) != 2, F.lit(True)))
     told = langid.label(docs, model)
     return told.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= UNSURE)).select(*docs.columns)
 
@@ -30,7 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     ship(spark)
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    with temporary(spark):
+        kept = materialize(near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct(), keep=True)
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
