@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import quality
 
@@ -77,3 +78,36 @@ def test_odd_rows(odd, nothing):
     assert len(rows) == odd.count()
     assert all(r["base_failed"] and not r["kept"] for r in rows if r["doc_id"] in (3, 4, 7))
     assert quality.judge(nothing, nothing.select("doc_id")).collect() == []
+
+
+def test_few_toxic_words_are_found(spark):
+    """One bad word in a text of 80; no threshold is given, and no label of the bad texts is used."""
+    rng = random.Random(5)
+    rows = [(i, [f"w{int(300 * rng.random() ** 2)}" for _ in range(80)]) for i in range(660)]
+    for i, words in rows[600:]:
+        words[rng.randrange(80)] = "idiot"
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = {r["doc_id"] for r in quality.judge_held_out(docs, docs.filter("doc_id < 300").select("doc_id")).filter("kept").collect()}
+    assert len(kept & set(range(600, 660))) <= 0.25 * 60
+    assert len(kept & set(range(300, 600))) >= 0.95 * 300       # clean, but not trusted
+
+
+def test_lowest_window_equals_brute_force(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts()) if t and len(t.split(" ")) > 3], "doc_id long, text string")
+    weights = quality.ratios(docs, docs.filter("doc_id % 2 = 0").select("doc_id"), "doc_id", "text", 1 << 10)
+    found = quality.scored(docs, weights, "doc_id", "text", 3).collect()
+    hashed = {r["doc_id"]: (r["w"], r["p"]) for r in docs.select("doc_id", quality.let(F.transform(
+        quality.words_of(F.col("text")), lambda w: F.xxhash64(w)), lambda h: F.struct(h.alias("w"), quality.joined(h, 2).alias("p"))).alias("x")).select("doc_id", "x.*").collect()}
+    for r in found:
+        words, pairs = hashed[r["doc_id"]]
+        each = [weights[0][w & 1023] + (weights[0][pairs[i - 1] & 1023] if i else 0.0) for i, w in enumerate(words)]
+        low = min(sum(each[i:i + 3]) for i in range(len(each) - 2)) / 6 if len(each) > 3 else r["ratio"]
+        assert r["lowest"] == pytest.approx(low, abs=2e-6)
+
+
+def test_held_out_odd_rows(odd, nothing):
+    rows = quality.judge_held_out(odd, odd.select("doc_id")).collect()
+    assert len(rows) == odd.count()
+    assert all(r["base_failed"] and not r["kept"] for r in rows if r["doc_id"] in (3, 4, 7))
+    assert quality.judge_held_out(nothing, nothing.select("doc_id")).collect() == []
+    assert all(r["kept"] == (not r["base_failed"]) for r in quality.judge_held_out(odd, nothing.select("doc_id")).collect())

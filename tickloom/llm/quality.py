@@ -2,13 +2,17 @@
 
 Method: words and word pairs are hashed into `buckets`; one multinomial is counted over all
 documents (raw corpus) and one over the trusted ones (target). A document's score is the mean
-over its n-grams of ln(p_target / p_raw), both smoothed by one count per bucket; it is kept
-if the score reaches `threshold` and the fixed rules do not fail it. The same threshold holds
-for every document.
+over its n-grams of ln(p_target / p_raw), both smoothed by one count per bucket. `judge` keeps
+a document if the score reaches a given threshold and the fixed rules do not fail it.
+`judge_held_out`, which the query uses, has no given threshold: documents fall into folds by
+their id, a fold is scored with the trusted documents of the others, and the score and the
+lowest window of a text are held against a low quantile of the trusted documents. The same
+thresholds hold for every document.
 
 Only DataFrame functions are used. The counts have one row per bucket, which bounds what the
-driver holds; counting is combined in every task before it is shuffled. Trusted ids are
-broadcast while they are small (checked) and joined by shuffle beyond.
+driver holds; counting is combined in every task before it is shuffled. The weights are one
+value that every task reads. Trusted ids are broadcast while they are small (checked) and
+joined by shuffle beyond.
 
 Defined cases: null texts have no words and fail the fixed rules; without trusted documents
 all ratios are zero; a null id is never trusted; repeated rows count and are judged each;
@@ -17,15 +21,18 @@ further columns are ignored.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.lookups import attach
-from tickloom.llm.common import SPACES, let
+from tickloom.llm.common import SPACES, let, unused
+from tickloom.session import materialize
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.25
+HELD_OUT_BUCKETS, FOLDS = 1 << 20, 5
+WINDOW, QUANTILE = 3, 0.005             # words of a window; share of trusted documents below a threshold
 LEAST_WORDS, MOST_REPEATED = 50, 50     # fixed rules: words, percent of words in repeated windows
 
 
@@ -74,55 +81,119 @@ def base(text: Column) -> dict[str, Column]:
     }
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int) -> list[float]:
-    """ln(p_target / p_raw) of every bucket; `buckets` is a power of two. `trusted` has the ids of
-    the target documents."""
+def target_ids(trusted: DataFrame) -> DataFrame:
+    """_id of the target documents, once each, with a column `target`."""
+    return trusted.select(F.col(trusted.columns[0]).alias("_id")).filter("_id is not null").distinct().withColumn(
+        "target", F.lit(1))
+
+
+def fold_of(id_: Column, folds: int) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(folds)).cast("int")
+
+
+def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int, folds: int = 1) -> np.ndarray:
+    """ln(p_target / p_raw) of every fold and bucket; `buckets` is a power of two. `trusted` has
+    the ids of the target documents. With several folds, the target of a fold is counted
+    without the documents whose id falls into it."""
     if buckets & (buckets - 1):
         raise ValueError("the number of buckets must be a power of two")
-    ids = trusted.select(F.col(trusted.columns[0]).alias("_id")).filter("_id is not null").distinct().withColumn(
-        "target", F.lit(1))
     text = F.coalesce(F.col("_text"), F.lit(""))
-    rows = attach(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), ids, ["_id"], row_bytes=24)
-    grams = rows.select(F.coalesce("target", F.lit(0)).alias("target"), F.explode(let(
-        F.transform(words_of(text), lambda w: F.xxhash64(w)), lambda h: F.concat(h, joined(h, 2)))).alias("gram"))
-    counted = grams.groupBy(F.col("gram").bitwiseAND(buckets - 1).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("target").alias("target")).collect()
-    raw, target = [1] * buckets, [1] * buckets
-    for r in counted:
-        raw[r["bucket"]] += r["raw"]
-        target[r["bucket"]] += r["target"]
-    if sum(target) == buckets:
-        return [0.0] * buckets
-    shift = math.log(sum(raw) / sum(target))
-    return [math.log(t / r) + shift for t, r in zip(target, raw)]
+    rows = attach(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), target_ids(trusted), ["_id"], row_bytes=24)
+    words = F.transform(words_of(text), lambda w: F.xxhash64(w))
+    grams = rows.select(fold_of(F.col("_id"), folds).alias("home"), F.col("target").isNotNull().alias("trusted"),
+                        F.explode(let(words, lambda h: F.concat(h, joined(h, 2)))).alias("gram"))
+    held = [F.sum((F.col("trusted") & (F.col("home") == k)).cast("long")).alias(f"target{k}") for k in range(folds)]
+    counted = grams.groupBy(F.col("gram").bitwiseAND(buckets - 1).alias("bucket")).agg(
+        F.count("*").alias("raw"), *held).toArrow()
+    at = counted["bucket"].to_numpy()
+    raw, own = np.ones(buckets), np.zeros((folds, buckets))
+    raw[at] += counted["raw"].to_numpy()
+    for k in range(folds):
+        own[k, at] = counted[f"target{k}"].to_numpy()
+    target = 1 + (own if folds == 1 else own.sum(axis=0) - own)
+    made = np.log(target / raw) + np.log(raw.sum() / target.sum(axis=1, keepdims=True))
+    made[target.sum(axis=1) == buckets] = 0.0
+    return made
+
+
+def scored(docs: DataFrame, weights: np.ndarray, id_col: str, text_col: str, window: int = 0) -> DataFrame:
+    """doc_id, n_words, the counts of `base`, n_repeat_words, ratio and base_failed of every row;
+    with `window`, also `lowest`. A row's weights are those of the fold of its id."""
+    folds, buckets = weights.shape
+    one_row = materialize(docs.sparkSession.createDataFrame(pa.table(
+        {"weights": pa.array([list(weights)], pa.list_(pa.list_(pa.float64())))})))
+    text = F.coalesce(F.col(text_col), F.lit(""))
 
+    def measured(hashes: Column, table: Column) -> Column:
+        def weight(gram: Column) -> Column:
+            return F.get(table, gram.bitwiseAND(buckets - 1).cast("int"))
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_words, the counts of `base`, n_repeat_words, base_failed, kept and ratio of every row."""
-    weights = ratios(docs, trusted, id_col, text_col, buckets)
-    table = F.split(F.lit(",".join(f"{w:.7f}" for w in weights)), ",").cast("array<double>")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+        # The weight of a word and of the pair that it ends.
+        each = F.transform(hashes, lambda h, i: weight(h) + F.when(
+            i > 0, weight(F.xxhash64(F.get(hashes, i - 1), h))).otherwise(0.0))
+        n = F.size(hashes)
+
+        def total(part: Column) -> Column:
+            return F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
 
-    def weight(gram: Column) -> Column:
-        return F.get(table, gram.bitwiseAND(buckets - 1).cast("int"))
+        def low(w: Column) -> Column:
+            moved = F.aggregate(
+                F.sequence(F.lit(window), n - 1),
+                F.struct(total(F.slice(w, 1, window)).alias("sum"), F.lit(float("inf")).alias("low")),
+                lambda a, i: F.struct((a["sum"] + F.get(w, i) - F.get(w, i - window)).alias("sum"),
+                                      F.least(a["low"], a["sum"]).alias("low")),
+                lambda a: F.least(a["low"], a["sum"]))
+            return moved / (2 * window)
 
-    def measured(hashes: Column) -> Column:
-        single = F.aggregate(hashes, F.lit(0.0), lambda a, h: a + weight(h))
-        pairs = F.aggregate(_steps(F.size(hashes) - 1), F.lit(0.0), lambda a, i: a + weight(
-            F.xxhash64(F.get(hashes, i - 1), F.get(hashes, i))))
-        grams = F.greatest(F.lit(1), 2 * F.size(hashes) - 1)
-        return F.struct(F.size(hashes).cast("long").alias("n_words"), repeated_words(hashes).alias("n_repeat_words"),
-                        ((single + pairs) / grams).alias("ratio"))
+        def of_weights(w: Column) -> Column:
+            ratio = total(w) / F.greatest(F.lit(1), 2 * n - 1)
+            lowest = [F.when(n > window, low(w)).otherwise(ratio).alias("lowest")] if window else []
+            return F.struct(n.cast("long").alias("n_words"), repeated_words(hashes).alias("n_repeat_words"),
+                            ratio.alias("ratio"), *lowest)
 
-    def of_words(words: Column) -> Column:
+        return let(each, of_weights)
+
+    def of_words(words: Column, table: Column) -> Column:
         return F.struct(F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-                        let(F.transform(words, lambda w: F.xxhash64(w)), measured).alias("m"))
+                        let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: measured(h, table)).alias("m"))
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), let(words_of(text), of_words).alias("w"),
-                       *[c.alias(name) for name, c in base(text).items()])
+    # The weights are one value that every task reads where it lies; no row carries them.
+    own = unused(docs, "_weights")
+    rows = docs.withColumn(own, F.get(one_row.select("weights").scalar(), fold_of(F.col(id_col), folds))).select(
+        F.col(id_col).alias("doc_id"), let(F.col(own), lambda t: let(
+            words_of(text), lambda words: of_words(words, t))).alias("w"), *[c.alias(name) for name, c in base(text).items()])
     rows = rows.select("*", "w.word_chars", "w.m")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return rows.select(
         "doc_id", F.col("m.n_words").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-        F.col("m.n_repeat_words").alias("n_repeat_words"), F.round("m.ratio", 6).alias("ratio")).withColumn(
-        "base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+        F.col("m.n_repeat_words").alias("n_repeat_words"), *[F.round(f"m.{c}", 6).alias(c) for c in (
+            ["ratio", "lowest"] if window else ["ratio"])]).withColumn("base_failed", failed)
+
+
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, n_words, the counts of `base`, n_repeat_words, ratio, base_failed and kept of every
+    row, by a given threshold on the ratio of whole documents."""
+    weights = ratios(docs, trusted, id_col, text_col, buckets)
+    return scored(docs, weights, id_col, text_col).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+
+
+def judge_held_out(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   buckets: int = HELD_OUT_BUCKETS, quantile: float = QUANTILE, window: int = WINDOW,
+                   folds: int = FOLDS) -> DataFrame:
+    """As `judge`, with `lowest` as well, and with thresholds that the trusted documents set.
+
+    Ratios are held out: no document, trusted or not, counts in its own target. A document is
+    kept if neither its ratio nor its lowest window is below the `quantile` of the trusted
+    documents that pass the fixed rules.
+    """
+    weights = ratios(docs, trusted, id_col, text_col, buckets, folds)
+    rows = materialize(scored(docs, weights, id_col, text_col, window))
+    known = attach(rows.filter(~F.col("base_failed")).withColumnRenamed("doc_id", "_id"), target_ids(trusted), ["_id"],
+                   "inner", row_bytes=24)
+    cuts = known.agg(*[F.percentile_approx(c, quantile, 100_000).alias(c) for c in ("ratio", "lowest")]).first()
+    kept = ~F.col("base_failed")
+    for c in ("ratio", "lowest"):
+        if cuts[c] is not None:
+            kept &= F.col(c) >= cuts[c]
+    return rows.withColumn("kept", kept)

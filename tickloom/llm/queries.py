@@ -118,7 +118,7 @@ def op6(spark, sf_dir):
 @query("op7_ngram_ratio")
 def op7(spark, sf_dir):
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+    return quality.judge_held_out(table(spark, sf_dir, "documents"), trusted)
 
 
 CAPTURES = r"""WITH hosts AS (
