@@ -2,6 +2,7 @@ import json
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -11,7 +12,7 @@ from tickloom.schemas import CANDLE, indicator_columns
 from tickloom.sinks.tables import from_keyed_json, keyed_json
 from tickloom.sources.tables import read_feature_table
 from tickloom.streaming import flows
-from tickloom.streaming.stateful import indicator_stream
+from tickloom.streaming.stateful import IndicatorProcessor, indicator_stream
 
 TRADE = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("price", T.DoubleType()),
@@ -158,3 +159,40 @@ def test_keyed_json_round_trip(spark):
     assert message.key == "A" and json.loads(message.value)["close"] == 5.0
     assert from_keyed_json(keyed_json(df), CANDLE).collect() == df.collect()
     assert flows.not_empty(df.withColumn("x", F.lit(None)), "x").count() == 0
+
+
+class Held:
+    """A state variable in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value or []
+
+    put = update = lambda self, value: setattr(self, "value", value)
+
+
+def sent(block, batches):
+    """The last version of every window that a processor sends."""
+    processor = IndicatorProcessor((7,), max_history=20, block=block)
+    processor.candles, processor.numbers = Held(), Held()
+    made = [rows for parts in batches for rows in processor.handleInputRows(("A",), iter(parts), None)]
+    return pd.concat(made).drop_duplicates("window_start_ms", keep="last").sort_values(
+        "window_start_ms").drop(columns="version").reset_index(drop=True)
+
+
+def test_no_candle_is_lost_in_a_batch_of_many_blocks(folder):
+    """Shuffled rows in blocks far smaller than the batch give what one large block gives."""
+    draw = random.Random(8)
+    bars = [bar(i, draw.randint(10, 99) / 1.0) for i in range(600)]
+    batches = []
+    for rows in (bars[:400], bars[395:]):
+        draw.shuffle(rows)
+        batches.append([pd.DataFrame(rows[i:i + 13]) for i in range(0, len(rows), 13)])
+    got = sent(50, batches)
+    assert len(got) == 600
+    pd.testing.assert_frame_equal(got, sent(100_000, batches))

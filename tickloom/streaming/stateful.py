@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+import tempfile
 from bisect import insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -17,6 +21,7 @@ from tickloom.schemas import CANDLE, PERIODS, indicator_columns
 
 NAMES = CANDLE.names
 START = NAMES.index("window_start_ms")
+RUN_ROWS = 4096     # rows of a sorted run that are read at a time
 STORED = T.StructType([*CANDLE.fields, T.StructField("arrival", T.LongType())])
 NUMBERS = T.StructType([T.StructField("dropped", T.LongType()), T.StructField("sent", T.LongType())])
 
@@ -72,12 +77,34 @@ class Series:
         self.touched.clear()
 
 
+def in_order(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(parts).sort_values(["window_start_ms", "arrival"], kind="stable")
+
+
+def spilled(run: pd.DataFrame):
+    """A temporary file with the rows of a run; it goes when it is closed."""
+    file = tempfile.TemporaryFile()
+    table = pa.Table.from_pandas(run, preserve_index=False)
+    with pa.ipc.new_stream(file, table.schema) as out:
+        out.write_table(table, max_chunksize=RUN_ROWS)
+    file.seek(0)
+    return file
+
+
+def read(file) -> Iterator[tuple]:
+    with file, pa.ipc.open_stream(file) as batches:
+        for batch in batches:
+            yield from batch.to_pandas().itertuples(index=False, name=None)
+
+
 class IndicatorProcessor(StatefulProcessor):
     """Indicators of every window that a micro-batch adds or changes.
 
-    Candles are taken in blocks and sorted by time inside a block; after each block the rows
-    of changed windows leave with a running `version`, and the series is cut, so memory holds
-    a block and the retained candles of one pair. With `arrival`, a number that grows with time, the later version of
+    The candles of a pair are put in order of time over the whole micro-batch: sorted runs of
+    `block` rows go to temporary files of the worker and are merged, so no candle is taken for
+    a late one because of its place in the batch. After each block of the merged rows those of
+    changed windows leave with a running `version`, and the series is cut, so memory holds a
+    block, a few rows of every run and the retained candles of one pair. With `arrival`, a number that grows with time, the later version of
     a candle wins whatever the order in which versions come in.
     """
 
@@ -95,7 +122,7 @@ class IndicatorProcessor(StatefulProcessor):
         dropped, sent = self.numbers.get() if self.numbers.exists() else (0, 0)
         series = Series(list(self.candles.get()), dropped, self.max_history, longest_need(self.periods, self.max_history))
         for block in self.blocks(rows):
-            for candle in block.itertuples(index=False, name=None):
+            for candle in block:
                 series.put(candle)
             sent += 1
             yield self.rows(series, sent)
@@ -103,15 +130,19 @@ class IndicatorProcessor(StatefulProcessor):
         self.candles.put([series.candles[s] for s in series.starts])
         self.numbers.update((series.dropped, sent))
 
-    def blocks(self, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+    def blocks(self, rows: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+        runs, held, n = [], [], 0
         for part in rows:
             held.append(part.assign(arrival=part[self.arrival] if self.arrival else 0)[[*NAMES, "arrival"]])
-            if sum(map(len, held)) >= self.block:
-                yield pd.concat(held).sort_values(["window_start_ms", "arrival"], kind="stable")
-                held = []
+            n += len(part)
+            if n >= self.block:
+                runs.append(read(spilled(in_order(held))))
+                held, n = [], 0
         if held:
-            yield pd.concat(held).sort_values(["window_start_ms", "arrival"], kind="stable")
+            runs.append(in_order(held).itertuples(index=False, name=None))
+        merged = heapq.merge(*runs, key=lambda c: (c[START], pd.isna(c[-1]), 0 if pd.isna(c[-1]) else c[-1]))
+        while block := list(islice(merged, self.block)):
+            yield block
 
     def rows(self, series: Series, version: int) -> pd.DataFrame:
         kept = [series.candles[s] for s in series.starts]
