@@ -59,6 +59,16 @@ def test_decode_messages(spark):
     assert sorted(r.reason for r in decode.rejected_messages(numbered).collect()) == ["no product", "no time", "not a message"]
 
 
+def test_every_message_gives_a_trade_or_a_reason(spark):
+    trade = {"symbol": "BTC/EUR", "price": 1.5, "qty": 2.0, "timestamp": "2024-01-01T00:00:00Z"}
+    rows = [json.dumps({"channel": "trade", "data": {"symbol": "A"}}), json.dumps({"channel": "trade"}), None,
+            json.dumps({"channel": "trade", "data": [trade], "note": "after a heartbeat"}),
+            json.dumps({"channel": "heartbeat"}), json.dumps({"channel": "status", "data": [{"system": "online"}]})]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    assert [r.product_id for r in decode.decode_messages(df).collect()] == ["BTC/EUR"]
+    assert sorted(r.reason for r in decode.rejected_messages(df).collect()) == ["no array of data", "no array of data", "no text"]
+
+
 def test_scalars(spark):
     row = spark.range(1).select(
         whole_second(F.lit(1999).cast("bigint")).cast("string").alias("s"),

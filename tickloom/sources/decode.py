@@ -12,6 +12,7 @@ from tickloom.schemas import LIVE_MESSAGE, TRADE_PAGE
 
 PAGE_CELL = 100_000
 MAX_TRADES_PER_PAGE = 1_000_000
+NO_TRADES = ("heartbeat", "status")     # channels without trades
 
 
 def _opened(pages: DataFrame) -> DataFrame:
@@ -72,19 +73,23 @@ def rejected_trades(pages: DataFrame) -> DataFrame:
 def _message_trades(messages: DataFrame, body: str, arrival: str | None) -> DataFrame:
     """One row per trade of the live messages, with `reason` where it cannot be used.
 
-    Heartbeats and status messages hold no trades. A message that is no JSON is one such row.
+    Heartbeats and status messages, told by their channel, hold no trades. A message that is no
+    JSON, has no text or no array of data is one such row.
     """
     text = F.col(body).cast("string")
     number = F.lit(None).cast("bigint") if arrival is None else F.col(arrival).cast("bigint")
-    opened = messages.filter(text.isNotNull() & ~text.contains("heartbeat")).select(
-        text.alias("body"), number.alias("_arrival"), F.from_json(text, LIVE_MESSAGE).alias("m"))
-    broken = F.col("m").isNull() | (F.col("m.channel").isNull() & F.col("m.data").isNull())
+    opened = messages.select(
+        text.alias("body"), number.alias("_arrival"), F.from_json(text, LIVE_MESSAGE).alias("m")).filter(
+        ~F.coalesce(F.col("m.channel").isin(*NO_TRADES), F.lit(False)))
+    broken = F.when(F.col("body").isNull(), "no text").when(
+        F.col("m").isNull() | (F.col("m.channel").isNull() & F.col("m.data").isNull()), "not a message").when(
+        F.col("m.data").isNull(), "no array of data")
     empty = F.array(F.lit(None).cast(LIVE_MESSAGE["data"].dataType.elementType))
     rows = opened.select("body", "_arrival", broken.alias("_broken"), F.posexplode(
-        F.when(broken, empty).otherwise(F.col("m.data"))).alias("position", "t"))
+        F.when(broken.isNotNull(), empty).otherwise(F.col("m.data"))).alias("position", "t"))
     ms = iso_to_ms(F.col("t.timestamp"))
     reason = (
-        F.when(F.col("_broken"), "not a message").when(F.col("t.symbol").isNull(), "no product")
+        F.when(F.col("_broken").isNotNull(), F.col("_broken")).when(F.col("t.symbol").isNull(), "no product")
         .when(F.col("t.price").isNull() | F.col("t.qty").isNull(), "no price or quantity")
         .when(ms.isNull(), "no time").when(F.col("position") >= MAX_TRADES_PER_PAGE, "too many trades"))
     return rows.select(
@@ -95,7 +100,7 @@ def _message_trades(messages: DataFrame, body: str, arrival: str | None) -> Data
 
 
 def decode_messages(messages: DataFrame, body: str = "value", arrival: str | None = None) -> DataFrame:
-    """Trades from live messages; heartbeats and messages without data give none.
+    """Trades from live messages; heartbeats and status messages give none.
 
     With `arrival`, the messages' number (such as the topic offset), trades get a `seq` in the
     order of arrival. Keys are never NULL; `rejected_messages` returns what is left out.
