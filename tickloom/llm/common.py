@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,6 +29,16 @@ def utf8(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).cast(pa.string())
 
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Fingerprints of pairs of 64-bit fingerprints, in this order; arrays of one length."""
+    x = b * np.uint64(0x9E3779B97F4A7C15)
+    x += a
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
 def unused(df: DataFrame, name: str) -> str:
     """`name`, with underscores in front as long as `df` has such a column."""
     while name in df.columns:

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
-    bpe, credentials, decontam, hmm, langid, near_dedup, quality, sharding, token_files, warc)
+    bpe, credentials, decontam, hmm, langid, near_dedup, packing, periodic, phrases, quality, sharding,
+    token_files, warc)
 from tickloom.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -158,3 +159,45 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
     model = langid.fit(docs, ~F.col("held_out"))
     return langid.label(docs.select("doc_id", "held_out", "text"), model, keep=["doc_id", "held_out"])
+
+
+@query("op11_sum_of_squares_packing")
+def op11(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, keep_ids=False)
+
+
+@query("op12_dyadic_square_runs")
+def op12(spark, sf_dir):
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
+PHRASES = r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM words, (VALUES (1), (2), (3), (4)) AS sizes(k), unnest(range(1, len(w) - k + 2)) AS t(s)
+  GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM candidates c, unnest(range(1, c.k)) AS t(cut)
+  JOIN counts x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.k = c.k - cut AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts),
+inside AS (
+  SELECT lang, array_to_string(w[s:s + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (2), (3)) AS sizes(size), unnest(range(1, k - size + 2)) AS t(s)
+  WHERE size < k GROUP BY 1, 2),
+kept AS (
+  SELECT b.* FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 80 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r.r AS r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000"""
+
+
+@query("op13_toivonen_phrases", PHRASES)
+def op13(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
