@@ -14,7 +14,7 @@ from tickloom.operators import candles as C
 from tickloom.schemas import CANDLE
 from tickloom.sinks.tables import from_keyed_json, keyed_json
 from tickloom.sources.tables import read_feature_table
-from tickloom.streaming import flows
+from tickloom.streaming import flows, perkey
 from tickloom.streaming.stateful import indicator_stream
 
 TRADE_MESSAGE = T.StructType([
@@ -145,3 +145,69 @@ def stream_dedup_counts(spark, sf):
     found = [p["observedMetrics"] for p in running.recentProgress if p["observedMetrics"]]
     rows = [sum(m[f"trades_{side}"]["rows"] for m in found if f"trades_{side}" in m) for side in ("in", "out")]
     return spark.createDataFrame([tuple(rows)], "rows_in long, rows_out long")
+
+
+@query(f"""WITH {bars_sql()}, own AS (SELECT product_id AS pair, max(timestamp_ms) - 600000 AS mark FROM trades GROUP BY product_id)
+SELECT {CANDLE_OUT}, 'closed' AS status FROM bars JOIN own USING (pair) WHERE window_end_ms <= mark""")
+def stream_candles_per_pair(spark, sf):
+    """Two products come in a week after the others: every pair's candles close by its own clock."""
+    home = work_folder(spark)
+    week = F.expr("(timestamp_ms - 1704067200000) div 604800000L") + F.when(
+        F.col("product_id").isin("view", "error"), 1).otherwise(0)
+    arriving = materialize(trades(spark, sf).withColumn("week", week))
+    for n in range(6):
+        keyed_json(arriving.filter(F.col("week") == n).drop("week"), "product_id").coalesce(1).write.mode("append").json(
+            f"{home}/trades")
+    made = perkey.pair_candle_stream(
+        flows.topic(stream_session(spark), TRADE_MESSAGE, f"{home}/trades", max_files=1), HOUR)
+    finish(flows.to_topic(made, f"{home}/state", f"{home}/topic"))
+    return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), perkey.STATUS)
+
+
+@query(f"""WITH {TRADES}, fed AS (SELECT * FROM trades WHERE product_id <> 'view' OR timestamp_ms < {SPLIT_MS}),
+mark AS (SELECT max(timestamp_ms) - 600000 AS mark FROM fed),
+last AS (SELECT product_id, max(timestamp_ms) AS last_ms FROM fed GROUP BY product_id)
+SELECT product_id, last_ms, last_ms + 300000 AS due_ms FROM last, mark WHERE mark - last_ms > 300000""")
+def silence_alarms_live(spark, sf):
+    """One product falls silent half-way: an alarm without a further trade of it, from a timer."""
+    home = work_folder(spark)
+    rows = event_stream(spark, sf).filter((F.col("product_id") != "view") | (F.col("timestamp_ms") < SPLIT_MS))
+    made = perkey.silence_alarms(rows, 300, clock="event", delay="10 minutes")
+    finish(flows.to_topic(made, f"{home}/state", f"{home}/topic", key="product_id"))
+    return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), perkey.ALARM)
+
+
+@query(f"""WITH {TRADES} SELECT product_id, {r('price')} AS price, {r('quantity')} AS quantity, timestamp_ms, seq FROM trades""")
+def stream_dedup_arrival(spark, sf):
+    """Trades that come again, in a later run, within the life time of their key, which counts from arrival."""
+    home = work_folder(spark)
+    for again in (0, LATER):
+        keyed_json(trades(spark, sf).withColumn("seq", F.col("seq") + again), "product_id").write.mode("append").json(
+            f"{home}/trades")
+        rows = flows.topic(stream_session(spark), TRADE_MESSAGE, f"{home}/trades")
+        seen = perkey.dedup_by_arrival(rows, "trades", ttl_sec=86_400)
+        finish(flows.to_topic(seen, f"{home}/state", f"{home}/topic", key="product_id"))
+    return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), TRADE_MESSAGE)
+
+
+@query(f"""WITH {bars_sql()}, joined AS (
+  SELECT a.pair, a.window_start_ms, a.close AS prediction, b.close AS actual FROM bars a
+  LEFT JOIN bars b ON a.pair = b.pair AND b.window_start_ms = a.window_start_ms + 18000000)
+SELECT pair, window_start_ms // 86400000 * 86400000 AS bucket_ms, count(actual) AS n_samples,
+  {r('avg(abs(actual - prediction))')} AS mae, count(*) - count(actual) AS without_candle,
+  coalesce(avg(abs(actual - prediction)) > 50, false) AS alarm FROM joined GROUP BY 1, 2""")
+def stream_prediction_alarms(spark, sf):
+    """Errors of a forecast per day as the candles come in, with those that had none."""
+    home, own = work_folder(spark), stream_session(spark)
+    made = materialize(C.candles(trades(spark, sf), HOUR))
+    # A candle far ahead moves the clock past all others, as the next days would.
+    end = spark.createDataFrame([("_end", 2 * AS_OF_MS, 1.0)], "pair string, window_start_ms long, close double")
+    rows = made.select("pair", "window_start_ms", "close").unionByName(end)
+    rows.write.parquet(f"{home}/candles")
+    rows.withColumnRenamed("close", "prediction").write.parquet(f"{home}/predictions")
+    candle_rows = own.readStream.schema("pair string, window_start_ms long, close double").parquet(f"{home}/candles")
+    predictions = own.readStream.schema("pair string, window_start_ms long, prediction double").parquet(f"{home}/predictions")
+    found = flows.prediction_alarm_stream(predictions, candle_rows, 5 * HOUR * 1000, 50.0)
+    schema = found.schema
+    finish(flows.to_topic(found, f"{home}/state", f"{home}/topic"))
+    return from_keyed_json(spark.read.schema("key string, value string").json(f"{home}/topic"), schema).filter("pair <> '_end'")

@@ -128,17 +128,39 @@ def publish_all(df: DataFrame, path: str, key: str = "product_id") -> None:
 
 
 def prediction_error_stream(predictions: DataFrame, candle_rows: DataFrame, horizon_ms: int,
-                            delay: str = "10 minutes") -> DataFrame:
+                            delay: str = "10 minutes", unmatched: bool = False) -> DataFrame:
     """Predictions joined to the candle that closes `horizon_ms` later, with the error.
 
     A prediction (pair, window_start_ms, prediction) waits in state until its candle is
-    there, or the watermark has passed it.
+    there, or the watermark has passed it. With `unmatched` it leaves then, without `actual`.
     """
+    made = _due(predictions, candle_rows, horizon_ms, delay, "left" if unmatched else "inner")
+    return made.select("pair", "window_start_ms", "prediction", "actual", "abs_error")
+
+
+def _due(predictions: DataFrame, candle_rows: DataFrame, horizon_ms: int, delay: str, how: str) -> DataFrame:
     due = with_event_time(predictions.withColumn(
         "due_ms", F.col("window_start_ms") + F.lit(horizon_ms)), "due_ms", delay).select(
-        "pair", "window_start_ms", "due_ms", "prediction", F.col("event_time").alias("due_time"))
+        "pair", "window_start_ms", "prediction", F.col("event_time").alias("due_time"))
     actual = with_event_time(candle_rows, "window_start_ms", delay).select(
         F.col("pair").alias("_pair"), F.col("event_time").alias("_time"), F.col("close").alias("actual"))
-    return due.join(actual, (F.col("pair") == F.col("_pair")) & (F.col("due_time") == F.col("_time"))).select(
-        "pair", "window_start_ms", "prediction", "actual",
-        F.abs(F.col("actual") - F.col("prediction")).alias("abs_error"))
+    joined = due.join(actual, (F.col("pair") == F.col("_pair")) & (F.col("due_time") == F.col("_time")), how)
+    return joined.withColumn("abs_error", F.abs(F.col("actual") - F.col("prediction")))
+
+
+def prediction_alarm_stream(predictions: DataFrame, candle_rows: DataFrame, horizon_ms: int, max_mae: float,
+                            bucket_ms: int = 86_400_000, delay: str = "10 minutes") -> DataFrame:
+    """Per pair and bucket of prediction times: the error once all its candles are due, the
+    predictions whose candle never came, and whether the error is above `max_mae`.
+
+    Two stateful steps in one query, in append mode: the outer join lets a prediction go when
+    the watermark has passed its candle, and a bucket leaves when it has passed the bucket.
+    """
+    joined = _due(predictions, candle_rows, horizon_ms, delay, "left")
+    # Buckets of the due time, moved by the horizon so that they are buckets of the prediction.
+    window = F.window("due_time", f"{bucket_ms} milliseconds", startTime=f"{horizon_ms % bucket_ms} milliseconds")
+    made = joined.groupBy("pair", window.alias("w")).agg(
+        F.count("actual").alias("n_samples"), F.avg("abs_error").alias("mae"),
+        F.count_if(F.col("actual").isNull()).alias("without_candle"))
+    return made.select("pair", (F.unix_millis("w.start") - F.lit(horizon_ms)).alias("bucket_ms"), "n_samples", "mae",
+                       "without_candle", F.coalesce(F.col("mae") > F.lit(max_mae), F.lit(False)).alias("alarm"))
