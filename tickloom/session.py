@@ -95,8 +95,17 @@ def temporary(spark: SparkSession):
     finally:
         _SCOPES.remove(paths)
         for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what `materialize` has stored for this very result, when a loop has replaced it."""
+    _delete(stored.sparkSession, stored._stored_at)
 
 
 def materialize(df: DataFrame, by: str | None = None, spread: Column | None = None,
@@ -118,4 +127,6 @@ def materialize(df: DataFrame, by: str | None = None, spread: Column | None = No
         df.repartition(*parts).write.partitionBy(by).parquet(path)
     else:
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    made = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    made._stored_at = path
+    return made
