@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tickloom.catalog.base import *  # noqa: F403
 from tickloom.catalog.base import query, r
 from tickloom.functions.lookups import attach
-from tickloom.operators import drift as X, models as M, prep as P, selection as S
+from tickloom.operators import boosting as B, drift as X, linear as L, models as M, prep as P, selection as S, serving as V
+from tickloom.operators.indicators import indicators
 from tickloom.plans import training
 from tickloom.session import materialize
 
@@ -135,42 +136,109 @@ def leaderboard_with_own_metric(spark, sf):
 
 # --- trained models: no SQL twin ------------------------------------------------------
 
-NAMES = ["LinearRegression", "Ridge", "Lasso", "DecisionTreeRegressor"]
+#: Trees of each boosted model; the depth, leaves and penalties are those of `boosting.FAMILIES`.
+TREES = 10
 
 
 def _training_rows(spark, sf):
-    ready, features, target = training.training_set(hourly_features(spark, sf), 5, step_ms=STEP)
-    return ready.filter("split = 'train'"), ready.filter("split = 'test'"), features, target
+    """The full feature table, cleaned, scaled and split."""
+    full = indicators(bars(spark, sf, HOUR), step_ms=STEP)
+    ready, features, target = training.training_set(full, 5, step_ms=STEP)
+    return ready, features, target
+
+
+def _part(ready, name):
+    return ready.filter(F.col("split") == name)
 
 
 @query()
 def model_leaderboard(spark, sf):
-    """Regressor families per pair, trained on the train part and measured on the test part."""
-    train, test, features, target = _training_rows(spark, sf)
-    return M.leaderboard(M.predict_all(M.train_families(train, features, target, NAMES), test, target))
+    """All regressor families on the full feature table, trained on the train part and measured
+    on the test part: linear and boosted ones for all pairs at once, the others pair by pair."""
+    ready, features, target = _training_rows(spark, sf)
+    train, test = _part(ready, "train"), _part(ready, "test")
+    boosted = B.fit_boosted(train, features, target, {n: {**p, "trees": TREES} for n, p in B.FAMILIES.items()})
+    others = M.train_families(train, features, target, [n for n in M.families() if n not in L.FAMILIES])
+    columns = ["pair", "model", "window_start_ms", "actual", "prediction"]
+    made = M.predict_linear(L.fit_families(train, features, target), test, features, target).select(*columns)
+    made = made.union(B.predict_boosted(boosted, test, features, target).select(*columns))
+    return M.leaderboard(made.union(M.predict_all(others, test, target).select(*columns)))
 
 
 @query()
 def tuning_trials(spark, sf):
-    """Seeded search for one family: two trials, three folds, every pair."""
-    train, test, features, target = _training_rows(spark, sf)
-    trials, _ = M.tune(train, test, features, target, ["Ridge"], trials=2, folds=3, step_ms=STEP)
-    return trials
+    """Seeded search of all linear families: 50 trials, five folds, every pair, full feature table."""
+    ready, features, target = _training_rows(spark, sf)
+    return L.tune_linear(_part(ready, "train"), _part(ready, "test"), features, target, step_ms=STEP)[0]
 
 
 @query()
 def scored_rows(spark, sf):
-    """Predictions with an error band from the validation residuals."""
-    ready, features, target = training.training_set(hourly_features(spark, sf), 5, step_ms=STEP)
-    fitted = M.train_families(ready.filter("split = 'train'"), features, target, ["Ridge"])
-    band = M.error_band(M.predict_all(fitted, ready.filter("split = 'validation'"), target))
-    made = M.predict_all(fitted, ready.filter("split = 'test'"), target)
+    """Every row of the feature table by its pair's best tuned model, with an error band from
+    the validation residuals."""
+    ready, features, target = _training_rows(spark, sf)
+    trials, models = L.tune_linear(_part(ready, "train"), _part(ready, "test"), features, target, step_ms=STEP)
+    chosen = M.best_tuned(trials.filter("chosen").select("pair", "model", F.col("test_mae").alias("mae")))
+    path = f"{work_folder(spark)}/parameters"
+    V.register_parameters(models.join(chosen.select("pair", "model"), ["pair", "model"]), path, features, 5)
+    made = V.score_rows(ready, V.read_parameters(spark, path), features, 5).withColumn("actual", F.col(target))
+    band = M.error_band(made.filter("split = 'validation' AND actual IS NOT NULL"))
     return attach(made, band, ["pair"]).select(
-        "pair", "window_start_ms", "actual", "prediction",
+        "pair", "window_start_ms", "split", "model", "actual", "prediction",
         (F.col("prediction") + F.col("band_low")).alias("prediction_low"),
         (F.col("prediction") + F.col("band_high")).alias("prediction_high"))
 
 
+# --- scoring by the registered parameters ------------------------------------------------
+
+FITS = f"""{FORECASTS}, known AS (SELECT pair, window_start_ms, close AS x, target AS y FROM targets WHERE target IS NOT NULL),
+fits AS (SELECT pair, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM known GROUP BY pair)"""
+
+
+def _versions(spark, sf, path):
+    """Version 1 for four products, version 2 for two of them, none for the fifth."""
+    rows = materialize(_targets(spark, sf))
+    yield rows
+    V.register_parameters(L.fit_families(rows.filter("pair <> 'view'"), ["close"], "target", ("LinearRegression",)), path, ["close"], 5)
+    yield 1
+    V.register_parameters(L.fit_families(rows.filter("pair IN ('click', 'error')"), ["close"], "target", ("Ridge",)), path, ["close"], 5)
+    yield 2
+
+
+def _scores(version_2):
+    ridge = f"pair IN ('click', 'error') AND {version_2}"
+    return f"""WITH {FITS} SELECT pair, window_start_ms, {r('close')} AS close,
+  CASE WHEN pair = 'view' THEN NULL WHEN {ridge} THEN 'Ridge' ELSE 'LinearRegression' END AS model,
+  CAST(CASE WHEN pair = 'view' THEN NULL WHEN {ridge} THEN 2 ELSE 1 END AS INTEGER) AS version,
+  {r(f'CASE WHEN pair = $$view$$ THEN close ELSE my + (close - mx) * sxy / (sxx + CASE WHEN {ridge} THEN 1 ELSE 0 END) END')} AS prediction
+  FROM targets JOIN fits USING (pair) WHERE target IS NOT NULL""".replace("$$", "'")
+
+
+@query(_scores("true"))
+def scored_by_registry(spark, sf):
+    """Every row by its pair's newest registered version; the baseline where there is none."""
+    path = f"{work_folder(spark)}/parameters"
+    rows, *_ = _versions(spark, sf, path)
+    return V.score_rows(rows, V.read_parameters(spark, path), ["close"], 5).select(
+        "pair", "window_start_ms", "close", "model", "version", "prediction")
+
+
+@query(_scores(f"window_start_ms >= {SPLIT_MS}"))
+def stream_scored_by_registry(spark, sf):
+    """A stream of feature rows; version 2 is registered after the first micro-batch."""
+    home = work_folder(spark)
+    path, own = f"{home}/parameters", spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    steps = _versions(spark, sf, path)
+    rows = next(steps).select("pair", "window_start_ms", "close")
+    for part in (F.col("window_start_ms") < SPLIT_MS, F.col("window_start_ms") >= SPLIT_MS):
+        next(steps)
+        rows.filter(part).write.mode("append").parquet(f"{home}/rows")
+        stream = own.readStream.schema(rows.schema).parquet(f"{home}/rows")
+        V.scoring_stream(stream, path, ["close"], 5, f"{home}/scores", f"{home}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{home}/scores").drop("batch")
+
+
 @query(f"""WITH {FEATURES} SELECT pair, window_start_ms, {r('close')} AS close, {r('close')} AS prediction FROM features""")
 def scored_fallback(spark, sf):
     """Without a registered model the baseline answers."""
