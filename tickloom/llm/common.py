@@ -29,6 +29,23 @@ def utf8(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary()).cast(pa.string())
 
 
+class Numbers(dict):
+    """Numbers things in the order of their first look-up; `new` holds them until emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+    def taken(self) -> list:
+        new, self.new = self.new, []
+        return new
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprints of pairs of 64-bit fingerprints, in this order; arrays of one length."""
     x = b * np.uint64(0x9E3779B97F4A7C15)

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import mixed, raw
+from tickloom.llm.common import Numbers, mixed, raw
 
 CHARS = 2_000_000           # bytes of text searched at a time
 
@@ -281,13 +281,10 @@ def _searched(batches, min_length, min_exponent, order):
         ids = batch.column("doc_id").to_pylist()
         whole = raw(batch.column("text"))
         for first, last in _groups(whole):
-            numbers: dict[bytes, int] = {}
+            numbers = Numbers()
             texts, coded = [], []
             for doc_id, text in zip(ids[first:last], whole[first:last]):
                 words = (text or b"").split()           # ASCII white space only
-                for word in words:
-                    if word not in numbers:
-                        numbers[word] = len(numbers)
                 code = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
                 at = order(doc_id, len(words)) if order else None
                 if at is not None:

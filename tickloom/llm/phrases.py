@@ -5,8 +5,11 @@ lowered count there. One pass over all documents then counts exactly, by text, t
 phrases and their negative border: phrases of which both parts, without the last and without
 the first word, are proposed (single words have no parts and are all counted). If a phrase of
 the border turns out frequent, phrases that hold it may have been missed: it joins the proposed
-ones, and a further pass counts what this adds to the border, until nothing new is frequent.
-A frequent phrase has frequent parts only, so then all of them are counted.
+ones, and a further pass counts what this adds to the border, taking in the same pass every
+phrase that it counts anew for proposed as well, so that longer phrases are counted along with
+their their parts. One such pass closes the search: a frequent phrase has frequent parts only, the
+single words are all known, and from there on both parts of a phrase are proposed or counted
+along with it.
 
 The sample's counts are kept by 64-bit fingerprint, since they only propose. Proposed phrases
 travel to the tasks as a set of 2^`BITS` bits by fingerprint (8 MB whatever the corpus; it is the
@@ -29,10 +32,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.llm.common import mixed, raw, stored, utf8
+from tickloom.llm.common import Numbers, mixed, raw, stored, utf8
 
 BITS = 26
-WORDS = 1_000_000           # words that are counted together in a task
+WORDS = 400_000             # words that are counted together in a task
+TEXTS = 256                 # texts that are taken from a batch at a time
 SAMPLE = 8                  # one document of so many proposes
 BREAK = b"."                # any of the signs that end a piece
 SIGNS = b".,;:!?\n\x0b\x0c\r"
@@ -48,15 +52,13 @@ class _Words:
     """Words of some texts as numbers, by language; 0 stands between pieces and texts."""
 
     def __init__(self):
-        self.numbers, self.codes, self.held = {BREAK: 0}, {}, 0
+        self.numbers, self.codes, self.held = Numbers(), {}, 0
+        self.numbers[BREAK]
 
     def add(self, lang: str, text: bytes) -> None:
-        words, numbers = split(text), self.numbers
-        for word in words:
-            if word not in numbers:
-                numbers[word] = len(numbers)
+        words = split(text)
         codes = self.codes.setdefault(lang, [])
-        codes.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
         codes.append(np.zeros(1, np.int64))
         self.held += len(words) + 1
 
@@ -78,11 +80,13 @@ class _Words:
 def _batched(batches) -> Iterator[_Words]:
     held = _Words()
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), raw(batch.column("text"))):
-            held.add(lang, text)
-            if held.held >= WORDS:
-                yield held
-                held = _Words()
+        for at in range(0, batch.num_rows, TEXTS):
+            some = batch.slice(at, TEXTS)
+            for lang, text in zip(some.column("lang").to_pylist(), raw(some.column("text"))):
+                held.add(lang, text)
+                if held.held >= WORDS:
+                    yield held
+                    held = _Words()
     if held.held:
         yield held
 
@@ -143,15 +147,16 @@ def _propose(rows: DataFrame, longest: int, lowered: int, slots: int) -> np.ndar
 
 def _phrases(codes, prints, words, longest, proposed, counted_before) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Phrases of two or more words whose two parts are proposed (but were not both in
-    `counted_before`), with their counts."""
+    `counted_before`), with their counts. In a further pass what is counted is proposed, too."""
     n_words, texts = len(words), utf8(words)
-    parts = None
+    parts, anew = None, None
     for size, (made, there) in enumerate(_prints(codes, prints, longest), 1):
         if size > 1:
             new, old = parts
             wanted = there & new[:-1] & new[1:]
             if old is not None:
                 wanted &= ~(old[:-1] & old[1:])
+            anew = None if old is None else wanted
             at = np.flatnonzero(wanted)
             # Names for the phrases, word after word: exact, unlike fingerprints.
             name, firsts = codes[at], None
@@ -164,6 +169,8 @@ def _phrases(codes, prints, words, longest, proposed, counted_before) -> Iterato
                 yield pc.binary_join_element_wise(*columns, " "), count
         if size < longest:
             held = there & _held(proposed, made)
+            if anew is not None:
+                held |= anew
             parts = held, None if counted_before is None else there & _held(counted_before, made)
 
 
@@ -222,19 +229,18 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, sam
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     lowered = max(2, 4 * min_count // (5 * sample))
     chosen = rows.filter(F.pmod(F.xxhash64("lang", "text", F.monotonically_increasing_id()), F.lit(sample)) == 0)
-    proposed, before, parts = _propose(chosen, longest, lowered, 1 << (bits - 6)), None, []
-    while True:
-        counted = _count(rows, longest, proposed, before)
-        parts.append(stored(counted.filter((F.col("f") >= min_count) | (F.col("phrase") == ""))))
-        missed = _missed(parts[-1], longest, proposed)
-        if not missed.any():
-            break
-        proposed, before = proposed | missed, proposed
-    # No pass counts what an earlier one has counted.
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
-    return found
+    proposed = _propose(chosen, longest, lowered, 1 << (bits - 6))
+
+    def counted(proposed: np.ndarray, before: np.ndarray | None) -> DataFrame:
+        made = _count(rows, longest, proposed, before)
+        return stored(made.filter((F.col("f") >= min_count) | (F.col("phrase") == "")))
+
+    first = counted(proposed, None)
+    missed = _missed(first, longest, proposed)
+    if not missed.any():
+        return first
+    # Leaves out what the first pass has counted.
+    return first.union(counted(proposed | missed, proposed))
 
 
 def collocations(docs: DataFrame, min_count: int = 30, longest: int = 4, top: int = 2000, sample: int = SAMPLE,

@@ -20,6 +20,8 @@ import re
 
 import numpy as np
 
+from tickloom.llm.common import Numbers
+
 CACHE = 500_000
 LETTER = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]"
 SIGNS = r"([!-&(-@\[-`{-~]*)"           # ASCII digits and signs without the apostrophe
@@ -28,23 +30,6 @@ PLAIN = re.compile(rf"{SIGNS}({LETTER}(?:[!-ɏ]*{LETTER})?){SIGNS}")
 BYTE_CHARS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
-class _Numbers(dict):
-    """Numbers things in the order of their first look-up; `new` holds them until emptied."""
-
-    def __init__(self):
-        super().__init__()
-        self.new = []
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
-
-    def taken(self) -> list:
-        new, self.new = self.new, []
-        return new
-
-
 class _Ragged:
     """Arrays of ids one after the other, by number."""
 
@@ -81,14 +66,14 @@ class WordIds:
         self.coder = Tokenizer.from_str(data)
         self.coder.encode_special_tokens = True     # their strings in a text are ordinary text
         self.model, self.cache = self.coder.model, cache
-        self.words, self.parts = _Numbers(), _Numbers()
+        self.words, self.parts = Numbers(), Numbers()
         self.word_ids, self.part_ids = _Ragged(), _Ragged()
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         if len(self.words) > self.cache:
-            self.words, self.word_ids = _Numbers(), _Ragged()
+            self.words, self.word_ids = Numbers(), _Ragged()
         if len(self.parts) > self.cache:
-            self.parts, self.part_ids = _Numbers(), _Ragged()
+            self.parts, self.part_ids = Numbers(), _Ragged()
         look_up = self.words.__getitem__
         split = [(text or b"").split() for text in texts]       # ASCII white space only
         numbers = [np.fromiter(map(look_up, words), np.int64, len(words)) for words in split]
