@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.lookups import attach
+from tickloom.functions.lookups import BROADCAST_BYTES, attach
 from tickloom.session import discard, materialize, temporary
 
 UNIT = 1 << 24              # steps of the largest residual in which gradients are added up
@@ -181,11 +181,11 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, models: dict
         rows = rows.withColumn("pred", F.col("base")).drop("base").withColumn(
             "model", F.explode(F.array(*[F.lit(name) for name in sets])))
         rows = materialize(rows, keep=True)
-        grown = []
+        grown, count = [], facts.count() * len(sets)
         for tree in range(max(p["trees"] for p in sets.values())):
             active = {name: p for name, p in sets.items() if p["trees"] > tree}
             with temporary(spark):
-                made, rows = _next_tree(rows, active, tree, key, kinds, width, row_id, seed)
+                made, rows = _next_tree(rows, active, tree, key, kinds, width, row_id, seed, count)
             grown.append(made)
         discard(rows)
         nodes = grown[0]
@@ -221,38 +221,66 @@ def _assembled(key: list[str]):
     return run
 
 
-def _next_tree(rows, active, tree, key, kinds, width, row_id, seed):
+def _next_tree(rows, active, tree, key, kinds, width, row_id, seed, models):
     """The nodes of the next tree of every pair and model, and the rows with their new predictions."""
     gradient = F.round((F.col("pred") - F.col("_y")) / F.col("scale") * UNIT).cast("long")
     drawn = _drawn({n: p["subsample"] for n, p in active.items()}, *row_id, "model", F.lit(tree), F.lit(seed))
-    now = rows.withColumn("node", F.when(F.col("model").isin(*active), 1).otherwise(0)).withColumn("_in", drawn)
+    drawn_rows = rows.filter(F.col("model").isin(*active)).withColumn("_in", drawn)
     allowed = {name: _columns(name, seed, tree, width, p["colsample"]) for name, p in active.items()}
     levels = []
     for depth in range(max(p["depth"] for p in active.values())):
-        sums = now.filter("node > 0 AND _in").select(*key, "scale", "node", gradient.alias("g"), F.posexplode("bins").alias("f", "b")).groupBy(
+        now = _placed(drawn_rows.filter("_in"), levels, key, models).filter("node > 0")
+        sums = now.select(*key, "scale", "node", gradient.alias("g"), F.posexplode("bins").alias("f", "b")).groupBy(
             *key, "scale", "node", "f", "b").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("h"))
-        found = materialize(sums.groupBy(*key, "scale", "node").applyInArrow(
+        levels.append(materialize(sums.groupBy(*key, "scale", "node").applyInArrow(
             _splitter(active, allowed, depth, key, width),
-            f"{kinds}, scale double, node int, g long, h long, feature int, cut int, gain double, gl long, hl long"))
-        levels.append(found)
-        split = found.filter("feature IS NOT NULL").select(*key, "node", "feature", "cut")
-        right = (F.get("bins", F.col("feature")) > F.col("cut")).cast("int")
-        # A row whose node is not split keeps it, with a minus.
-        now = attach(now, split, [*key, "node"], stored=True).withColumn(
-            "node", F.when(F.col("feature").isNull(), -F.abs("node")).otherwise(2 * F.col("node") + right)).drop("feature", "cut")
+            f"{kinds}, scale double, node int, g long, h long, feature int, cut int, gain double, gl long, hl long")))
     every = levels[0]
     for more in levels[1:]:
         every = every.union(more)
     made = materialize(every.groupBy(*key).applyInArrow(
         _finisher(active, key, tree), f"{kinds}, tree int, node int, feature int, cut int, value double"), keep=True)
-    value = made.select(*key, "node", "value")
-    after = attach(now.withColumn("node", F.abs("node")), value, [*key, "node"], stored=True)
-    after = after.withColumn("pred", F.col("pred") + F.coalesce("value", F.lit(0.0))).select(*rows.columns)
+    # What a node is worth, by its number; rows of models that have all their trees stay.
+    worth = made.groupBy(*key).agg(F.max("node").alias("last"), F.map_from_entries(F.collect_list(F.struct("node", "value"))).alias("m"))
+    worth = worth.select(*key, F.transform(F.sequence(F.lit(1), F.col("last")), lambda n: F.col("m")[n]).alias("worth"))
+    after = _meet(_placed(rows, levels, key, models), worth, key, models * (16 << len(levels)))
+    gain = F.when(F.col("model").isin(*active), F.get("worth", F.abs("node") - 1))
+    after = after.withColumn("pred", F.col("pred") + F.coalesce(gain, F.lit(0.0))).select(*rows.columns)
     after = materialize(after, keep=True)
     discard(rows)
     return made, after
 
 
+def _meet(rows: DataFrame, small: DataFrame, key: list[str], size: int) -> DataFrame:
+    """As `attach`, for one row per model whose size is known beforehand."""
+    return rows.join(F.broadcast(small) if size <= BROADCAST_BYTES else small.hint("shuffle_merge"), key, "left")
+
+
+def _placed(rows: DataFrame, levels: list[DataFrame], key: list[str], models: int) -> DataFrame:
+    """The rows with their node after the levels so far: negative where no split was found.
+
+    The splits of a model are one value, an array by node number, so this is one join whatever
+    the depth.
+    """
+    if not levels:
+        return rows.withColumn("node", F.lit(1))
+    every = levels[0]
+    for more in levels[1:]:
+        every = every.union(more)
+    last = (1 << len(levels)) - 1
+    split = every.filter("feature IS NOT NULL").groupBy(*key).agg(
+        F.map_from_entries(F.collect_list(F.struct("node", F.struct("feature", "cut").alias("s")))).alias("m")).select(
+        *key, F.transform(F.sequence(F.lit(1), F.lit(last)), lambda n: F.col("m")[n]).alias("splits"))
+
+    def step(node: Column, _: Column) -> Column:
+        split = F.get("splits", node - 1)
+        right = (F.get("bins", split["feature"]) > split["cut"]).cast("int")
+        return F.when(node < 0, node).when(split.isNull(), -node).otherwise(2 * node + right)
+
+    wide = _meet(rows, split, key, models * (24 << len(levels)))
+    return wide.withColumn("node", F.aggregate(F.sequence(F.lit(1), F.lit(len(levels))), F.lit(1), step)).drop("splits")
+
+
 def _splitter(active, allowed, depth, key, width):
     def run(table: pa.Table) -> pa.Table:
         name = table["model"][0].as_py()

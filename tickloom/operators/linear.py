@@ -24,7 +24,8 @@ from tickloom.session import materialize
 
 FAMILIES = ("LinearRegression", "Ridge", "Lasso", "ElasticNet")
 BLOCK = 8192                # rows whose errors one task measures at a time
-SWEEPS = 2000               # of coordinate descent, at most
+SWEEPS = 1000               # of coordinate descent, at most
+SETTLED = 1e-6
 WHOLE = -1                  # the fold number of models of all training rows
 
 COEFFICIENTS = "trial int, fold int, intercept double, coefficients array<double>"
@@ -67,20 +68,27 @@ def fold_sums(rows: DataFrame, names: list[str], base: DataFrame) -> DataFrame:
 
 
 def _descend(gram: np.ndarray, cross: np.ndarray, alpha: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Coordinate descent of all parameter sets side by side; one column of coefficients each."""
-    beta = np.zeros((len(cross), len(alpha)))
-    limit, ridge = alpha * share, alpha * (1 - share)
-    size = max(float(np.abs(cross).max()), 1e-300)
+    """Coordinate descent of all parameter sets side by side; one column of coefficients each.
+
+    A set is done when no coefficient moves its part of the gradient by more than `SETTLED` of
+    the largest correlation.
+    """
+    beta, still = np.zeros((len(cross), len(alpha))), np.arange(len(alpha))
+    least = SETTLED * max(float(np.abs(cross).max()), 1e-300)
+    used = np.flatnonzero(np.diag(gram) > 0)
     for _ in range(SWEEPS):
-        moved = 0.0
-        for k in range(len(cross)):
-            if gram[k, k] <= 0:
-                continue
-            rest = cross[k] - gram[k] @ beta + gram[k, k] * beta[k]
-            new = np.sign(rest) * np.maximum(np.abs(rest) - limit, 0) / (gram[k, k] + ridge)
-            moved = max(moved, float(np.abs(gram[k, k] * (new - beta[k])).max()))
-            beta[k] = new
-        if moved <= 1e-10 * size:
+        now, moved = beta[:, still], np.zeros(len(still))
+        limit, ridge = (alpha * share)[still], (alpha * (1 - share))[still]
+        slope = cross[:, None] - gram @ now
+        for k in used:
+            rest = slope[k] + gram[k, k] * now[k]
+            step = np.sign(rest) * np.maximum(np.abs(rest) - limit, 0) / (gram[k, k] + ridge) - now[k]
+            now[k] += step
+            slope -= gram[:, k, None] * step
+            moved = np.maximum(moved, np.abs(gram[k, k] * step))
+        beta[:, still] = now
+        still = still[moved > least]
+        if not len(still):
             break
     return beta
 
@@ -129,7 +137,9 @@ def fit_sets(sums: DataFrame, base: DataFrame, size: int, sets: list[tuple[float
                          "intercept": pa.array(a, pa.float64()), "coefficients": pa.array(b, pa.list_(pa.float64()))})
 
     wide = attach(sums, base, ["pair"], "inner", row_bytes=16 * (size + 2))
-    return wide.groupBy("pair").applyInArrow(run, f"pair string, {COEFFICIENTS}")
+    # Few rows but much work for each pair: the partitions are not to be put together.
+    parts = int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wide.repartition(parts, "pair").groupBy("pair").applyInArrow(run, f"pair string, {COEFFICIENTS}")
 
 
 def set_errors(rows: DataFrame, fitted: DataFrame, features: list[str], target: str) -> DataFrame:
