@@ -4,11 +4,14 @@ Method: a text's k-grams of words are hashed, and of every window of w consecuti
 minimum is kept, so that two texts that share w + k - 1 words share a kept hash. Documents'
 and items' kept hashes are joined; a hit is extended to the whole windows of `SPAN` words
 around it, which are compared in full (their first and last k-gram cover all their words).
+Words are hashed once; a k-gram's hash is that of its words' hashes.
 With k = 5 and w = 6 every shared span of ten words is found. An item of fewer words is one
 window of its own length, with its own k and w.
 
-Only DataFrame functions are used. Kept hashes that no item has end in the first join; texts
-are read again for documents with a hit only. Whether items are broadcast is left to Spark,
+Only DataFrame functions are used. All texts are split up once, for the number of words and the
+kept hashes; hashes that no item has end in the first join, and what is left of a document is
+one row before anything is shuffled (unless the items are too many to broadcast). Texts are
+read again for documents with a hit only. Whether items are broadcast is left to Spark,
 which knows their stored size.
 
 Defined cases: null texts have no words; an empty benchmark hits nothing; items without words
@@ -32,8 +35,9 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def count_words(text: Column) -> Column:
-    return F.regexp_count(lowered(F.coalesce(text, F.lit(""))), F.lit(WORD)).cast("long")
+def word_hashes(text: Column) -> Column:
+    """One number per word, so that k-grams and windows never touch the words again."""
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
 def _steps(n: Column) -> Column:
@@ -89,43 +93,52 @@ def windows(words: Column, spans: list[int], wanted: Column | None = None) -> Co
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN) -> DataFrame:
     """The key (_id, _text), n_words, n_hit, n_items, items_sha256 and contaminated of every row."""
-    every = docs.select(*row_key(id_col, text_col), count_words(F.col(text_col)).alias("n_words"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                             words_of(F.col(item_text_col)).alias("words")).filter(F.size("words") > 0)
+                             word_hashes(F.col(item_text_col)).alias("words")).filter(F.size("words") > 0)
     items = items.withColumn("length", F.least(F.size("words"), F.lit(span)))
     # At most `span` different lengths.
     spans = sorted(r["length"] for r in items.select("length").distinct().collect())
-    if not spans:
-        hits = None
-    else:
-        parts = [items.filter(F.col("length") == s).select("item", F.explode(
-        let(F.col("words"), lambda w: windows(w, [s]))).alias("x"))
-                 for s in spans]
-        made = parts[0]
-        for part in parts[1:]:
-            made = made.union(part)
-        known = stored(made.select("item", "x.span", "x.kept", "x.first", "x.last").distinct())
-        hits = _hits(docs, known, spans, id_col, text_col)
     nothing = {"n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"), "items_sha256": F.sha2(F.lit(""), 256)}
-    if hits is None:
+    if not spans:
+        every = docs.select(*row_key(id_col, text_col), F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
         return every.withColumns({**nothing, "contaminated": F.lit(False)})
-    e, h = every.alias("e"), hits.alias("h")
+    parts = [items.filter(F.col("length") == s).select("item", F.explode(
+        let(F.col("words"), lambda w: windows(w, [s]))).alias("x"))
+             for s in spans]
+    made = parts[0]
+    for part in parts[1:]:
+        made = made.union(part)
+    known = stored(made.select("item", "x.span", "x.kept", "x.first", "x.last").distinct())
+    every = stored(_looked_up(docs, known, spans, id_col, text_col))
+    hits = _hits(docs, known, every.filter(F.size("wanted") > 0), spans, id_col, text_col)
+    # Repeated rows of a document get a row each.
+    e, h = every.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).alias("e"), hits.alias("h")
     joined = e.join(h, F.col("e._id").eqNullSafe(F.col("h._id")) & (F.col("e._text") == F.col("h._text")), "left")
     return joined.select("e._id", "e._text", "n_words", *[F.coalesce(c, v).alias(c) for c, v in nothing.items()],
                          F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
 
-def _hits(docs: DataFrame, known: DataFrame, spans: list[int], id_col: str, text_col: str) -> DataFrame:
+def _looked_up(docs: DataFrame, known: DataFrame, spans: list[int], id_col: str, text_col: str) -> DataFrame:
+    """The key, n_words, number of copies and `wanted` (kept hashes that some item has) of every document."""
+    read = docs.select(*row_key(id_col, text_col), let(word_hashes(F.col(text_col)), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), kept_hashes(w, spans).alias("kept"))).alias("x"))
+    prints = read.select("_id", "_text", "x.n_words", F.posexplode_outer("x.kept").alias("at", "kept"))
+    # A document without hashes gets one of its own, so that such rows do not meet in one task.
+    prints = prints.withColumn("kept", F.coalesce("kept", F.xxhash64("_id", "_text", F.lit("none"))))
+    found = prints.join(known.select("kept").distinct().withColumn("_known", F.lit(True)), "kept", "left")
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    return found.groupBy("_id", "_text").agg(
+        F.max("n_words").alias("n_words"), F.count_if(first).alias("copies"),
+        F.collect_set(F.when(F.col("_known"), F.col("kept"))).alias("wanted"))
+
+
+def _hits(docs: DataFrame, known: DataFrame, flagged: DataFrame, spans: list[int], id_col: str, text_col: str) -> DataFrame:
     """n_hit, n_items and items_sha256 of documents that hold a window of an item."""
     key = ["_id", "_text"]
-    prints = docs.select(*row_key(id_col, text_col), F.explode(
-        let(words_of(F.col(text_col)), lambda w: kept_hashes(w, spans))).alias("kept"))
-    flagged = stored(prints.join(known.select("kept").distinct(), "kept", "left_semi").groupBy(*key).agg(
-        F.collect_set("kept").alias("wanted")))
     texts = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text")).alias("t")
     again = texts.join(flagged.alias("f"), F.col("t._id").eqNullSafe(F.col("f._id")) & (F.col("t._text") == F.col("f._text")))
     found = again.select("t._id", "t._text", F.explode(let(
-        words_of(F.col("text")), lambda w: windows(w, spans, F.col("wanted")))).alias("x")).select(*key, "x.*")
+        word_hashes(F.col("text")), lambda w: windows(w, spans, F.col("wanted")))).alias("x")).select(*key, "x.*")
     same = ["span", "kept", "first", "last"]
     found = stored(found.join(known.select(*same).distinct(), same, "left_semi").distinct())
 
