@@ -18,6 +18,14 @@ def corpus(spark, n=90):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string")
 
 
+def test_numerals_are_no_letters(spark):
+    assert langid.words_of("½ ② Ⅳ ² x² aⅣb 3c٣d") == ["x", "a", "b", "c", "d"]
+    model = langid.fit(corpus(spark), F.lit(True))
+    rows = spark.createDataFrame([(1, "½ ② Ⅳ"), (2, "²"), (3, "2² ka")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.label(rows, model).collect()}
+    assert found[1] == found[2] == ("und", 0.0) and found[3][0] == "aa"
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op10_crf_language"](spark, sf_dir).join(docs, "doc_id").collect()

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,14 @@ FIRM = 4.0                  # largest transition weight: whole documents carry o
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters. `WORD` takes other numerals (fractions, Roman, raised ones) for letters as
+    well; only where it has found one are its words cut again."""
+    if not text:
+        return []
+    words = WORD.findall(text.lower())
+    if "".join(words).isalpha():
+        return words
+    return ["".join(part) for word in words for letter, part in groupby(word, str.isalpha) if letter]
 
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
