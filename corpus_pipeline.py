@@ -16,20 +16,22 @@ from tickloom.llm.common import row_key
 from tickloom.llm.queries import fold, table
 from tickloom.session import materialize, ship, temporary
 
-UNSURE = 0.4        # mean probability of the best language below which a document goes
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose language cannot be told (no letters), or not with some certainty."""
+    """Documents go whose language cannot be told: those without a letter. A text that switches
+    between languages stays, however evenly; so does every text with a letter where no document
+    has a language to learn from."""
     ship(spark)
     with temporary(spark):
         model = langid.fit(docs, F.coalesce(fold(4) != 2, F.lit(True)))
-    told = langid.label(docs, model)
-    return told.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= UNSURE)).select(*docs.columns)
+    if model is None:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return langid.label(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
+    """One document of each group of near duplicates stays: the one with the smallest id. Rows
+    that repeat an id stay together, and so do copies without one."""
     ship(spark)
     with temporary(spark):
         kept = materialize(near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct(), keep=True)
