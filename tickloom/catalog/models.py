@@ -137,7 +137,7 @@ def leaderboard_with_own_metric(spark, sf):
 # --- trained models: no SQL twin ------------------------------------------------------
 
 #: Trees of each boosted model; the depth, leaves and penalties are those of `boosting.FAMILIES`.
-TREES = 10
+TREES = 4
 
 
 def _training_rows(spark, sf):
