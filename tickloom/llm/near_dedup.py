@@ -20,7 +20,8 @@ A group of copies does not cause all its pairs:
    left out by an estimate.
 
 A node's texts travel to its leader in parts of bounded size, so a leader with very many
-members is many tasks. Nothing is collected on the driver but counts.
+members is many tasks. Texts, samples and bands that no pair asks for stay where they are, by a
+filter of bounded size. Nothing else is collected on the driver but counts.
 
 Defined cases: a document without words (or with a null text) has no shingles and is linked
 with nothing; with fewer than five words the whole sequence is its one shingle; a null id has
@@ -37,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import raw, stored
+from tickloom.llm.common import maybe_among, raw, stored
 
 WORDS = 5                   # words of a shingle
 ROWS, BANDS = 3, 32         # coordinates of a band, bands
@@ -196,8 +197,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, percent: int, i
                            F.col("a").alias("id"), F.lit(0).alias("role"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     wanted = members.unionByName(leaders)
+    asked = maybe_among(pairs.select(F.explode(F.array("a", "b")).alias("id")))
     # Repeated rows of an id only repeat its comparisons.
-    dealt = wanted.join(texts, "id").repartition("a", "part").sortWithinPartitions("a", "part", "role", "id")
+    dealt = wanted.join(texts.filter(asked("id")), "id").repartition("a", "part").sortWithinPartitions("a", "part", "role", "id")
 
     def run(batches):
         hashes, leader, own = _Hashes(), None, None
@@ -293,9 +295,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = located.groupBy("band", "component").agg(F.count("*").alias("n"))
     mixed = held.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                      F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    unsettled = located.join(mixed, "band")
-    samples = rows.select(F.col("doc_id").alias("id"), "sample").join(unsettled.select("id").distinct(), "id").dropDuplicates(["id"])
-    open_ = unsettled.join(nodes, "id").join(samples, "id")
+    unsettled = stored(located.join(mixed, "band"))
+    asked = maybe_among(unsettled)
+    samples = rows.select(F.col("doc_id").alias("id"), "sample").filter(asked("id")).join(
+        unsettled.select("id").distinct(), "id").dropDuplicates(["id"])
+    known_of = stored(samples.join(nodes.filter(asked("id")), "id"))
+    open_ = unsettled.join(known_of, "id")
     few, all_ = open_.filter("component <> largest").alias("x"), open_.alias("y")
     # A pair that shares several bands comes out of the first of them.
     first_band = F.get(F.col("x.bands"), F.array_position(F.zip_with(
@@ -312,8 +317,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not more.isEmpty():
             placed = components(links.union(more))
 
-    result = rows.join(firsts, "digest", "left").join(
-        stored(placed).withColumnRenamed("id", "first"), "first", "left")
+    # Rows meet a table with one row per set, and those without words none.
+    named = firsts.join(placed.withColumnRenamed("id", "first"), "first", "left")
+    wordless = rows.filter("digest is null").select("*", *[F.lit(None).cast("long").alias(c) for c in ("first", "component")])
+    result = rows.filter("digest is not null").join(named, "digest", "left").unionByName(wordless)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
