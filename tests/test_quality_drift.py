@@ -1,6 +1,9 @@
+import itertools
+import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +204,69 @@ def test_columns_without_values_on_a_side(spark):
     assert numeric == {"a": ("ks", False, 2, 2), "b": ("no values", True, 0, 2), "c": ("no values", False, 0, 0)}
     share = X.drift_share(X.data_drift(one, two, ("d",))).first()
     assert (share["columns"], share["drifted_columns"]) == (4, 2)
+
+
+def enumerated_ks(apart, n, m):
+    """The share of all orders of two samples that differ by `apart` / (n * m) somewhere."""
+    hits = orders = 0
+    for chosen in itertools.combinations(range(n + m), n):
+        i = j = 0
+        left = False
+        for step in range(n + m):
+            i, j = (i + 1, j) if step in chosen else (i, j + 1)
+            left |= abs(i * m - j * n) >= apart
+        hits, orders = hits + left, orders + 1
+    return hits / orders
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 6), (3, 4), (5, 5), (6, 4), (7, 2)])
+def test_lattice_paths_equal_enumeration(n, m):
+    for apart in range(n * m + 1):
+        assert X.lattice_exit(apart, n, m) == pytest.approx(enumerated_ks(apart, n, m) if apart else 1.0, rel=1e-12)
+
+
+def test_lattice_paths_of_disjoint_and_large_samples():
+    assert X.lattice_exit(30 * 20, 30, 20) == pytest.approx(2 / math.comb(50, 20), rel=1e-9)
+    # Near the limit distribution (1.36: 0.0494) where both samples are large.
+    n = 4000
+    assert X.lattice_exit(round(1.36 * (2 / n) ** 0.5 * n * n), n, n) == pytest.approx(0.0494, rel=0.02)
+
+
+def test_exact_probability_decides_up_to_the_stated_size(spark):
+    rng = np.random.default_rng(10)
+    a, b = rng.normal(size=12), rng.normal(1.2, 1, 9)
+    statistic = brute_ks(a, b)[0]
+    exact = X.numeric_drift(frame(spark, {"x": a}), frame(spark, {"x": b})).first()
+    assert exact.ks_p_value == pytest.approx(X.lattice_exit(round(statistic * 108), 12, 9))
+    limit = [X.numeric_drift(frame(spark, {"x": a}), frame(spark, {"x": b}), exact_rows=k).first().ks_p_value for k in (0, 11)]
+    assert limit[0] == limit[1] != exact.ks_p_value
+    same = X.numeric_drift(frame(spark, {"x": a}), frame(spark, {"x": a})).first()
+    assert same.ks_p_value == 1.0 and not same.drifted
+
+
+@pytest.mark.parametrize("method", ["pearson", "spearman"])
+def test_correlations_of_sixty_columns(spark, method):
+    """Ties, missing values, a value with a third of all rows, large values, a constant column."""
+    rng = np.random.default_rng(11)
+    data = pd.DataFrame({f"c{i}": np.round(rng.normal(size=3000) + 1e9 * (i == 3), i % 4) for i in range(60)})
+    data["c7"] = 0.5 * data["c6"] + data["c7"]
+    data.loc[::3, "c5"] = -0.0
+    data.loc[1::3, "c5"] = 0.0
+    data["c9"] = 0.1
+    data.loc[::7, "c8"] = np.nan
+    values = data.rank() if method == "spearman" else data
+    wanted = values.corr()
+    found = Q.correlations(spark.createDataFrame(data).repartition(5), method=method).collect()
+    assert len(found) == 60 * 59 // 2
+    for a, b, got in found:
+        if "c9" in (a, b):
+            assert got is None
+        else:
+            assert got == pytest.approx(wanted.loc[a, b], abs=1e-6 if "c3" in (a, b) else 1e-9)
+
+
+def test_correlations_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a double, b long, c double")
+    for method in ("pearson", "spearman"):
+        assert [tuple(r) for r in Q.correlations(empty, method=method).orderBy("column_a", "column_b").collect()] == [
+            ("a", "b", None), ("a", "c", None), ("b", "c", None)]

@@ -36,14 +36,28 @@ def _halves(df):
 @query(f"""WITH {_SIDES} SELECT "column", n_reference, n_current, {r('ks')} AS ks_statistic, {r('p')} AS ks_p_value,
   {r('ws')} AS wasserstein, {r('wn')} AS wasserstein_normed, method, drifted FROM verdicts""")
 def drift_numeric(spark, sf):
-    return X.numeric_drift(*_halves(bars(spark, sf)), COLUMNS)
+    return X.numeric_drift(*_halves(bars(spark, sf)), COLUMNS, exact_rows=0)
+
+
+@query(f"""WITH RECURSIVE {_SIDES.replace(bars_sql(), bars_sql(DAY))}, paths AS (
+  SELECT "column", n_reference AS n, n_current AS m, round(ks * n_reference * n_current) AS apart, 0 AS step,
+    list_transform(range(0, n_reference + 1), lambda i: 0.0::DOUBLE) AS out FROM drift
+  UNION ALL SELECT "column", n, m, apart, step + 1, list_transform(range(0, n + 1), lambda i:
+    CASE WHEN i > step + 1 OR step + 1 - i > m THEN 0.0 WHEN abs(i * m - (step + 1 - i) * n) >= apart THEN 1.0
+    ELSE (i * coalesce(out[i], 0.0) + (step + 1 - i) * out[i + 1]) / (step + 1) END) FROM paths WHERE step < n + m)
+SELECT "column", n AS n_reference, m AS n_current, {r('ks')} AS ks_statistic, {r('out[n + 1]')} AS ks_p_value,
+  out[n + 1] < 0.05 AS drifted FROM paths JOIN drift USING ("column") WHERE step = n + m""")
+def drift_daily_exact(spark, sf):
+    """Daily candles: few rows, so the exact probability decides."""
+    return X.numeric_drift(*_halves(bars(spark, sf, DAY)), COLUMNS).select(
+        "column", "n_reference", "n_current", "ks_statistic", "ks_p_value", "drifted")
 
 
 @query(f"""WITH {_SIDES} SELECT count(*) AS columns, count(*) FILTER (drifted) AS drifted_columns,
   {r('count(*) FILTER (drifted) / count(*)')} AS share, count(*) FILTER (drifted) / count(*) >= 0.5 AS dataset_drift,
   bool_or(drifted) FILTER ("column" = 'close') AS named_column_drift FROM verdicts""")
 def drift_share(spark, sf):
-    return X.drift_share(X.numeric_drift(*_halves(bars(spark, sf)), COLUMNS))
+    return X.drift_share(X.numeric_drift(*_halves(bars(spark, sf)), COLUMNS, exact_rows=0))
 
 
 @query(f"""WITH counts AS (SELECT l_returnflag AS value, count(*) FILTER (l_shipdate < TIMESTAMP '1998-01-01') AS a,

@@ -94,6 +94,24 @@ def correlations(spark, sf):
     return Q.correlations(bars(spark, sf), _CORR)
 
 
+_RANKED = [*_CORR, "sma_7", "sma_14", "rsi_7", "rsi_14"]
+
+
+@query(f"""WITH {FEATURES}, numbered AS (SELECT row_number() OVER () AS id, * FROM features), long AS (
+  SELECT id, "column", value FROM (UNPIVOT (SELECT id, {', '.join(f'round({c}, 6) AS {c}' for c in _RANKED)} FROM numbered) ON {', '.join(_RANKED)}
+  INTO NAME "column" VALUE value)),
+ranked AS (SELECT id, "column", rank() OVER (PARTITION BY "column" ORDER BY value)
+  + (count(*) OVER (PARTITION BY "column", value) - 1) / 2.0 AS v FROM long),
+places AS (SELECT c AS "column", i FROM (SELECT unnest([{', '.join(repr(c) for c in _RANKED)}]) AS c, unnest(range({len(_RANKED)})) AS i))
+SELECT x."column" AS column_a, y."column" AS column_b, {r('corr(x.v, y.v)')} AS correlation
+FROM ranked x JOIN ranked y USING (id) JOIN places a ON a."column" = x."column" JOIN places b ON b."column" = y."column"
+WHERE a.i < b.i GROUP BY 1, 2""")
+def rank_correlations(spark, sf):
+    """Spearman's; the first indicators of a pair are missing. Six digits of a value count, as
+    averages that are equal on paper differ in their last bits."""
+    return Q.correlations(rounded(hourly_features(spark, sf)), _RANKED, "spearman")
+
+
 @query(f"""WITH {TRADES}, {SUPPLIER}, rates AS (
   SELECT (count(*) - count(DISTINCT (product_id, timestamp_ms))) / count(*) AS v FROM supplier_trades),
 steps AS (SELECT product_id, timestamp_ms - lag(timestamp_ms) OVER (PARTITION BY product_id ORDER BY timestamp_ms) AS g FROM trades),

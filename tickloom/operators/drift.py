@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -20,6 +21,7 @@ P_VALUE = 0.05
 DISTANCE = 0.1
 DRIFT_SHARE = 0.5
 DAY_MS = 86_400_000
+EXACT_ROWS = 10_000         # rows of the larger side up to which a KS probability is counted exactly
 
 
 def _sides(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -41,10 +43,49 @@ def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.when(x < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
+def lattice_exit(apart: int, n: int, m: int) -> float:
+    """The share of all orders of n and m different values whose two distribution functions
+    differ somewhere by at least apart / (n * m).
+
+    An order is a lattice path from (0, 0) to (n, m). Of the paths to (i, j), i in i + j come
+    from (i - 1, j); the share that has left the band goes along the diagonals, and every path
+    counts as having left where |i * m - j * n| >= apart. Only positive numbers are added, so
+    small shares keep their digits.
+    """
+    if n > m:
+        n, m = m, n
+    places = np.arange(n + 1)
+    out = np.zeros(n + 2)           # out[i + 1] belongs to i; no path comes from i = -1
+    for step in range(1, n + m + 1):
+        low, high = max(0, step - m), min(n, step) + 1
+        i = places[low:high]
+        j = step - i
+        share = (out[low:high] * i + out[low + 1:high + 1] * j) / step
+        share[np.abs(i * m - j * n) >= apart] = 1.0
+        out[low + 1:high + 1] = share
+    return float(min(1.0, out[n + 1])) if apart > 0 else 1.0
+
+
+def exact_ks_p_value(statistic: Column, n_ref: Column, n_cur: Column, rows: int = EXACT_ROWS) -> Column:
+    """Two-sided p-value of the two-sample Kolmogorov-Smirnov statistic, from lattice paths;
+    null where a side has more than `rows` rows. Ties count as if values were all different."""
+    @F.pandas_udf(T.DoubleType())
+    def counted(apart: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([lattice_exit(int(d), int(a), int(b)) if 0 < a <= rows and 0 < b <= rows else None
+                          for d, a, b in zip(apart, n, m)], dtype="float64")
+
+    known = F.coalesce(statistic, F.lit(0.0))
+    return counted(F.round(known * n_ref * n_cur), n_ref, n_cur)
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame,
-                  columns: list[str] | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
+                  columns: list[str] | None = None, exclude: tuple[str, ...] = (),
+                  exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Per column: KS statistic and p-value, Wasserstein distance over the reference
-    deviation, and the verdict (the distance above 1000 reference rows, else the p-value)."""
+    deviation, and the verdict (the distance above 1000 reference rows, else the p-value).
+
+    The p-value is exact up to `exact_rows` rows of the larger side and the limit beyond.
+    """
     columns = columns or numeric_columns(current, exclude)
     points = cumulative(_sides(reference, current, columns), ["n_ref", "n_cur"])
     f_ref = F.col("cum_n_ref") / F.col("all_n_ref")
@@ -63,8 +104,11 @@ def numeric_drift(reference: DataFrame, current: DataFrame,
     deviation = F.sqrt(F.greatest(F.col("_var"), F.lit(0.0)))
     # The deviation is kept away from 0, so a constant reference column still compares.
     scaled = F.col("wasserstein") / F.greatest(deviation, F.lit(0.001))
-    stats = stats.withColumn("wasserstein_normed", scaled).withColumn(
-        "ks_p_value", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+    tested = F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")
+    p_value = ks_p_value(*tested)
+    if exact_rows:
+        p_value = F.coalesce(exact_ks_p_value(*tested, exact_rows), p_value)
+    stats = stats.withColumn("wasserstein_normed", scaled).withColumn("ks_p_value", p_value)
     large = F.col("n_reference") > LARGE_SAMPLE
     compared = stats.select(
         "column", "n_reference", "n_current", "ks_statistic", "ks_p_value", "wasserstein",

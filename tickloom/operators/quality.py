@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.distribution import cumulative, long_form, quantiles, value_counts
 from tickloom.functions.scalars import trading_date, whole_second
 from tickloom.functions.series import CELL_ROWS, time_cell
+from tickloom.session import materialize
 
 # What a feature table must look like.
 REQUIRED_COLUMNS = ("pair", "open", "high", "low", "close", "volume", "window_start_ms",
@@ -17,6 +20,8 @@ NOT_NEGATIVE = ("close", "volume")
 INCREASING = "window_start_ms"
 MIN_ROWS = 10
 
+FREQUENT = 1000             # a value is frequent if it holds more than one row in this many
+
 
 def expectations(df: DataFrame, arrival: str | None = None, strictly: bool = False,
                  min_rows: int = MIN_ROWS, cell: int = CELL_ROWS) -> DataFrame:
@@ -154,16 +159,71 @@ def approximate_profile(df: DataFrame, columns: list[str] | None = None,
         F.max("value").alias("max"), F.count_if(F.col("value") == 0).alias("zeros"))
 
 
-def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every two numeric columns, one aggregate pass."""
+def ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns with each value's average rank among the values of its column, in no order.
+
+    Ranks come from cumulative counts per distinct value. Values that many rows share are few,
+    so their ranks are broadcast; all others are joined by value. Missing values and NaN stay
+    missing; rows without any value are left out.
+    """
+    rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), *columns))
+    each = long_form(rows, columns, ["_row"]).withColumn("value", F.col("value") + F.lit(0.0))
+    n = F.col("n")
+    placed = materialize(cumulative(value_counts(long_form(rows, columns)), ["n"]).select(
+        "column", "value", "n", (F.col("cum_n") - (n - 1) / 2).alias("rank")))
+    # At most `FREQUENT` values of a column can have more rows than this.
+    often = n > rows.count() / FREQUENT
+    first = each.join(F.broadcast(placed.filter(often).drop("n")), ["column", "value"], "left")
+    rest = first.filter("rank IS NULL").drop("rank").join(placed.filter(~often).drop("n"), ["column", "value"])
+    return first.filter("rank IS NOT NULL").unionByName(rest).groupBy("_row").agg(
+        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in columns]).drop("_row")
+
+
+def correlations(df: DataFrame, columns: list[str] | None = None, method: str = "pearson") -> DataFrame:
+    """Correlation of every two numeric columns: `pearson`, or `spearman` by average ranks.
+
+    A pair counts the rows in which both columns have a value; ranks are those among all values
+    of a column. Every task adds up products of its rows, and the sums meet per pair of columns,
+    so the plan does not grow with their number. Null where a column does not vary.
+    """
+    if method not in ("pearson", "spearman"):
+        raise ValueError(f"unknown method {method}")
     columns = columns or numeric_columns(df)
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}_{j}")
-                    for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j],
-                  F.count(F.lit(1)).alias("rows"))
-    cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                      F.col(f"c{i}_{j}").alias("correlation"))
-             for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j]
-    return wide.select(F.inline(F.array(*cells)))
+    values = ranks(df, columns) if method == "spearman" else df
+    doubles = values.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    k = len(columns)
+    # Products are taken around the means, so that no digits are lost where values are large.
+    centre = np.array([m or 0.0 for m in doubles.agg(*[
+        F.avg(F.when(~F.isnan(f"c{i}"), F.col(f"c{i}"))) for i in range(k)]).first()])
+    a, b = np.triu_indices(k, 1)
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+
+    def products(batches):
+        n, x, xx, xy = np.zeros((4, k, k))
+        for batch in batches:
+            held = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            there = ~np.isnan(held)
+            held, there = np.where(there, held - centre, 0.0), there.astype(float)
+            n += there.T @ there
+            x += held.T @ there
+            xx += (held * held).T @ there
+            xy += held.T @ held
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (
+            a, b, n[a, b], x[a, b], x[b, a], xx[a, b], xx[b, a], xy[a, b])], ["i", "j", *names])
+
+    sums = doubles.mapInArrow(products, "i long, j long, " + ", ".join(f"{c} double" for c in names)).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in names])
+
+    def spread(squares: Column, total: Column) -> Column:
+        made = F.col("n") * squares - total * total
+        return F.when(made > 1e-12 * F.col("n") * squares, made)
+
+    both = F.sqrt(spread(F.col("xx"), F.col("x"))) * F.sqrt(spread(F.col("yy"), F.col("y")))
+    called = F.array(*[F.lit(c) for c in columns])
+    pairs = df.sparkSession.range(k * k).select((F.col("id") / k).cast("long").alias("i"), (F.col("id") % k).alias("j")).filter("i < j")
+    return pairs.join(F.broadcast(sums), ["i", "j"], "left").select(
+        F.get(called, F.col("i").cast("int")).alias("column_a"), F.get(called, F.col("j").cast("int")).alias("column_b"),
+        ((F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / both).alias("correlation"))
 
 
 def consistency_by_day(table: DataFrame, ms: str = "window_start_ms") -> DataFrame:
