@@ -67,3 +67,20 @@ def test_odd_rows(odd, nothing):
     assert langid.fit(nothing, F.lit(True)) is None
     assert langid.label(nothing, model).collect() == []
     assert {r["lang_pred"] for r in langid.label(odd, None).collect()} == {langid.UNDETERMINED}
+
+
+def test_a_kept_text_travels_once(spark, monkeypatch):
+    """The texts of a task's batch lie in the executor and in the worker; a second copy doubles both."""
+    docs = corpus(spark)
+    model, sent = langid.fit(docs, F.lit(True), iterations=2), []
+    plain = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *args: (sent.append(self.columns), plain(self, *args))[1])
+    whole = langid.label(docs, model)
+    bare = langid.label(docs, model, keep=["doc_id"])
+    assert sent == [["doc_id", "text", "lang"], ["doc_id", "_text"]]
+    assert whole.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert sorted(r[0:1] + r[3:] for r in whole.collect()) == sorted(tuple(r) for r in bare.collect())
+    assert {tuple(r)[:3] for r in whole.collect()} == {tuple(r) for r in docs.collect()}
+    # A text of another type is read as a string and kept as it is.
+    coded = langid.label(docs.withColumn("text", F.encode("text", "UTF-8")), model).first()
+    assert isinstance(coded["text"], (bytes, bytearray)) and coded["lang_pred"] in model["languages"]
