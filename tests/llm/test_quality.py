@@ -111,3 +111,27 @@ def test_held_out_odd_rows(odd, nothing):
     assert all(r["base_failed"] and not r["kept"] for r in rows if r["doc_id"] in (3, 4, 7))
     assert quality.judge_held_out(nothing, nothing.select("doc_id")).collect() == []
     assert all(r["kept"] == (not r["base_failed"]) for r in quality.judge_held_out(odd, nothing.select("doc_id")).collect())
+
+
+def test_weights_stay_out_of_the_driver(spark, monkeypatch):
+    """Neither the counts nor the weights of the query's million buckets pass through Python; and both
+    ways of summing windows agree."""
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(90)}" for _ in range(70))) for i in range(60)], "doc_id long, text string")
+    trusted = docs.filter("doc_id % 3 = 0").select("doc_id")
+    array = quality.ratios(docs, trusted, "doc_id", "text", 1 << 12, 5)
+    assert array.shape == (5, 1 << 12)
+    plain = sorted(quality.scored(docs, array, "doc_id", "text", 3).collect())
+
+    def refuse(self):
+        raise AssertionError("a table was collected")
+
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(type(docs), name, refuse)
+    made = quality.scored(docs, quality.ratio_table(docs, trusted, "doc_id", "text", 1 << 12, 5), "doc_id", "text", 3)
+    kept = quality.judge_held_out(docs, trusted, buckets=1 << 12)
+    monkeypatch.undo()
+    assert sorted(made.collect()) == plain and kept.count() == 60
+    monkeypatch.setattr(quality, "UNROLLED", 0)
+    rolled = sorted(quality.scored(docs, array, "doc_id", "text", 3).collect())
+    assert all(a["lowest"] == pytest.approx(b["lowest"], abs=2e-6) and a[:8] == b[:8] for a, b in zip(rolled, plain))
