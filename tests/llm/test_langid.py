@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tickloom.llm import langid
@@ -84,3 +85,22 @@ def test_a_kept_text_travels_once(spark, monkeypatch):
     # A text of another type is read as a string and kept as it is.
     coded = langid.label(docs.withColumn("text", F.encode("text", "UTF-8")), model).first()
     assert isinstance(coded["text"], (bytes, bytearray)) and coded["lang_pred"] in model["languages"]
+
+
+def test_words_are_kept_in_bounds(monkeypatch):
+    """Also within the texts that are labelled together, whose word numbers stay valid."""
+    rng = random.Random(3)
+    texts = [sentence(rng, lang, 30).split() for lang in SYLLABLES for _ in range(20)]
+    weights = np.random.default_rng(4).normal(size=(langid.SIZE, 3)).astype(np.float32)
+
+    def scores(bound):
+        monkeypatch.setattr(langid, "CACHED_WORDS", bound)
+        words, flat, most = langid.Words(weights, {}), [], 0
+        for text in texts:
+            flat.append(words.number([text])[1])
+            most = max(most, len(words.numbers))
+        return most, words.potentials[np.concatenate(flat)]
+
+    most, found = scores(50)
+    assert most <= 50 + 30
+    assert (found == scores(10**6)[1]).all()
