@@ -1,8 +1,9 @@
 """A corpus pipeline: language, near duplicates, benchmark passages, credentials, token ids.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stages before it
-kept; its result is written as Parquet and read again as the next stage's documents. All but
-the last return the columns of documents. Null texts, repeated rows and further columns are
+kept; its result is written as Parquet and read again as the next stage's documents. Documents
+that a stage neither drops nor changes are not shuffled. All but the last return the columns of
+documents. Null texts, repeated rows and further columns are
 handled as the operators' docstrings say.
 """
 
@@ -12,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import bpe, credentials, decontam, langid, near_dedup
-from tickloom.llm.common import row_key
+from tickloom.llm.common import parted, row_key
 from tickloom.llm.queries import fold, table
 from tickloom.session import materialize, ship, temporary
 
@@ -34,16 +35,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that repeat an id stay together, and so do copies without one."""
     ship(spark)
     with temporary(spark):
-        kept = materialize(near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct(), keep=True)
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+        gone = materialize(near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter(
+            "not kept").select("doc_id"), keep=True)
+    maybe, stay = parted(docs, [docs["doc_id"].cast("long")], gone, [F.col("doc_id")])
+    return maybe.join(gone, maybe["doc_id"] == gone["doc_id"], "left_anti").union(stay)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item (or a shorter item) go."""
     ship(spark)
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("_id", "_text")
+    with temporary(spark):
+        found = materialize(decontam.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(
+            "_id", "_text").distinct(), keep=True)
     id_, text = row_key("doc_id", "text")
-    return docs.join(found, id_.eqNullSafe(found["_id"]) & (text == found["_text"]), "left_anti")
+    maybe, stay = parted(docs, [id_, text], found, [F.col("_id"), F.col("_text")])
+    return maybe.join(found, id_.eqNullSafe(found["_id"]) & (text == found["_text"]), "left_anti").union(stay)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from tickloom.llm import bpe, credentials, decontam, langid, near_dedup
+from tickloom.llm import bpe, common, credentials, decontam, langid, near_dedup
 from tickloom.session import materialize
 
 
@@ -87,3 +87,49 @@ def test_odd_and_no_documents(spark, sf_dir):
 def test_run_equals_the_stages(spark, sf_dir, steps):
     assert sorted(map(repr, cp.run(spark, sf_dir).select("doc_id", "n_tokens").collect())) == sorted(
         map(repr, steps[-1].select("doc_id", "n_tokens").collect()))
+
+
+def test_documents_that_stay_as_they_are_are_not_shuffled(spark, sf_dir):
+    """Where joins are not broadcast, rows that a stage leaves alone come out with those they came with."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("length(text) > 80").first()["text"]
+
+    def text(i, words):
+        return " ".join(f"w{i}x{k}" for k in range(words))
+
+    rows = [(i, text(i, 20), "en", "s", 1) for i in range(400)]
+    rows += [(1000 + i, text(i, 20), "en", "s", 1) for i in range(4)]               # copies of the first ones
+    rows += [(2000 + i, f"{text(2000 + i, 20)} {item}", "en", "s", 1) for i in range(4)]
+    rows += [(3000 + i, f"{text(3000 + i, 20)} password = hunter{i}hunter{i}", "en", "s", 1) for i in range(4)]
+    rows += [(None, text(5000, 20), "en", "s", 1), (None, text(5000, 20), "en", "s", 1), (4000, None, "en", "s", 1)]
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    docs = spark.createDataFrame(rows, base.schema).repartition(6).withColumn("came", F.spark_partition_id())
+    docs = materialize(docs)
+    every = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for stage, gone in ((cp.near_duplicates, range(1000, 1004)), (cp.decontaminate, range(2000, 2004)),
+                            (cp.redact, range(0))):
+            made = stage(spark, docs, sf_dir).withColumn("went", F.spark_partition_id()).collect()
+            assert len(made) == len(rows) - len(gone)
+            assert {r["doc_id"] for r in made} == {d for d, _ in every} - set(gone)
+            alone = [r for r in made if (r["doc_id"], r["text"]) in every and (r["doc_id"] or 0) < 400]
+            assert len(alone) == 402
+            assert len({(r["came"], r["went"]) for r in alone}) == 6
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_parted_by_key(spark):
+    rows = spark.createDataFrame([(i if i else None, i % 3, f"t{i}") for i in range(3000)], "id long, _slot int, `a.b` string")
+    wanted = rows.filter("id is null or id % 50 = 0").select("id", "_slot")
+    maybe, rest = common.parted(rows, [F.col("id"), F.col("_slot")], wanted, [F.col("id"), F.col("_slot")])
+    assert maybe.columns == rest.columns == rows.columns
+    assert sorted(map(repr, maybe.union(rest).collect())) == sorted(map(repr, rows.collect()))
+    assert maybe.join(wanted, maybe["id"].eqNullSafe(wanted["id"])).count() == wanted.count() == 60
+    assert maybe.count() < 70
+    maybe, rest = common.parted(rows, [F.col("id")], wanted.limit(0), [F.col("id")])
+    assert maybe.count() == 0 and rest.count() == 3000

@@ -11,7 +11,8 @@ window of its own length, with its own k and w.
 Only DataFrame functions are used. All texts are split up once, for the number of words and the
 kept hashes; hashes that no item has end in the first join, and what is left of a document is
 one row before anything is shuffled (unless the items are too many to broadcast). Texts are
-read again for documents with a hit only. Whether items are broadcast is left to Spark,
+read again, and shuffled, for documents with a hit only (and few others, by a filter of bounded
+size). Whether items are broadcast is left to Spark,
 which knows their stored size.
 
 Defined cases: null texts have no words; an empty benchmark hits nothing; items without words
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import let, lowered, row_key, stored
+from tickloom.llm.common import let, lowered, parted, row_key, stored
 
 SPAN = 10
 KGRAM = 5
@@ -135,8 +136,9 @@ def _looked_up(docs: DataFrame, known: DataFrame, spans: list[int], id_col: str,
 def _hits(docs: DataFrame, known: DataFrame, flagged: DataFrame, spans: list[int], id_col: str, text_col: str) -> DataFrame:
     """n_hit, n_items and items_sha256 of documents that hold a window of an item."""
     key = ["_id", "_text"]
-    texts = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text")).alias("t")
-    again = texts.join(flagged.alias("f"), F.col("t._id").eqNullSafe(F.col("f._id")) & (F.col("t._text") == F.col("f._text")))
+    texts = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
+    maybe, _ = parted(texts, [F.col(c) for c in key], flagged, [F.col(c) for c in key])
+    again = maybe.alias("t").join(flagged.alias("f"), F.col("t._id").eqNullSafe(F.col("f._id")) & (F.col("t._text") == F.col("f._text")))
     found = again.select("t._id", "t._text", F.explode(let(
         word_hashes(F.col("text")), lambda w: windows(w, spans, F.col("wanted")))).alias("x")).select(*key, "x.*")
     same = ["span", "kept", "first", "last"]
