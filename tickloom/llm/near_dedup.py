@@ -181,6 +181,8 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                               for s in sets], pa.binary()), lists(bands(made)), lists(bits(made)),
                     pa.array([sample(s) for s in sets], pa.list_(pa.int32()))],
                     ["doc_id", "n_shingles", "digest", "bands", "bits", "sample"])
+            batch = some = None     # what the batch took goes back to the system
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>, "
                                 "sample array<int>")
@@ -219,6 +221,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, percent: int, i
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            batch = columns = text = None
+            pa.default_memory_pool().release_unused()
 
     return dealt.select("a", "part", "id", "role", "text").mapInArrow(run, "a long, b long").distinct()
 
