@@ -4,8 +4,10 @@ Method: blocks of ids are coded independently by an adaptive context-mixing rang
 is four hexadecimal digits (eight above 65,535); the counts of each digit after no, one and two
 preceding ids (order 0 to 2) are mixed with weights that follow how well each order predicted
 lately, and the mixed frequencies drive a carry-less range coder in 64-bit integers. Everything
-is integer arithmetic, so a block decodes alike on every machine. Blocks of a task advance in
-step: one array operation codes a digit of up to LANES blocks.
+is integer arithmetic, so a block decodes alike on every machine. `write` and `read` code blocks
+in the JVM (`IdBlocks.java`), and tokenize there where the tokenizer is a byte-level one
+(`byte_level`); else the tokenizers library does. `pack` and `unpack` are the same coder in numpy,
+for files without Spark and to test against: one array operation codes a digit of up to LANES blocks.
 
 File: documents (ids and token counts, deflated) and blocks, each with a length and a CRC-32:
 
@@ -22,16 +24,19 @@ are written each; an empty table gives no file and an empty result; further colu
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tickloom.llm import byte_level, jvm
 from tickloom.llm.common import stored
 from tickloom.session import work_folder
 
@@ -203,34 +208,45 @@ def unpack(source, blocks: int) -> Iterator[np.ndarray]:
                 yield ids
 
 
-def write_file(sink, doc_ids: list[int | None], texts: list[np.ndarray]) -> None:
-    ids = np.concatenate(texts).astype("<u4") if texts else np.zeros(0, "<u4")
+def header(doc_ids: list[int | None], lengths: list[int]) -> bytes:
+    """What comes before the blocks."""
     table = zlib.compress(np.array([d or 0 for d in doc_ids], "<i8").tobytes()
                           + np.array([d is not None for d in doc_ids], "u1").tobytes()
-                          + np.array([len(t) for t in texts], "<u4").tobytes())
-    sink.write(HEAD.pack(b"CMID", 1, len(texts), -(-len(ids) // BLOCK), len(table), zlib.crc32(table)) + table)
-    for block in pack(ids):
-        sink.write(block)
+                          + np.array(lengths, "<u4").tobytes())
+    return HEAD.pack(b"CMID", 1, len(lengths), -(-sum(lengths) // BLOCK), len(table), zlib.crc32(table)) + table
 
 
-def read_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of the documents, in order, holding one group of blocks at a time."""
+def read_header(source) -> tuple[list[int | None], list[int], int]:
+    """doc_id and length of the documents, and the number of blocks that follow."""
     magic, version, documents, blocks, size, crc = HEAD.unpack(source.read(HEAD.size))
     table = source.read(size)
     if (magic, version) != (b"CMID", 1) or zlib.crc32(table) != crc:
         raise ValueError("not a token file, or a damaged one")
     table = zlib.decompress(table)
-    doc_ids = np.frombuffer(table, "<i8", documents).tolist()
     valid = np.frombuffer(table, "u1", documents, 8 * documents).tolist()
-    lengths = np.frombuffer(table, "<u4", documents, 9 * documents).tolist()
-    found, held, have = unpack(source, blocks), [], 0
-    for doc_id, ok, n in zip(doc_ids, valid, lengths):
-        while have < n:
-            held.append(next(found))
-            have += len(held[-1])
-        whole = np.concatenate(held) if held else np.zeros(0, "<u4")
-        yield doc_id if ok else None, whole[:n]
-        held, have = [whole[n:]], have - n
+    doc_ids = [d if ok else None for d, ok in zip(np.frombuffer(table, "<i8", documents).tolist(), valid)]
+    return doc_ids, np.frombuffer(table, "<u4", documents, 9 * documents).tolist(), blocks
+
+
+def split(doc_ids: list[int | None], lengths: list[int], blocks: Iterator) -> Iterator[tuple[int | None, memoryview]]:
+    """doc_id and ids, as bytes, of the documents whose blocks of ids come in order."""
+    whole, at = memoryview(b""), 0
+    for doc_id, n in zip(doc_ids, lengths):
+        if len(whole) - at < 4 * n:
+            held, have = [whole[at:]], len(whole) - at
+            while have < 4 * n:
+                held.append(next(blocks))
+                have += len(held[-1])
+            whole, at = memoryview(b"".join(held)), 0
+        yield doc_id, whole[at:at + 4 * n]
+        at += 4 * n
+
+
+def read_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of the documents, in order, holding one group of blocks at a time."""
+    doc_ids, lengths, blocks = read_header(source)
+    for doc_id, ids in split(doc_ids, lengths, (ids.tobytes() for ids in unpack(source, blocks))):
+        yield doc_id, np.frombuffer(ids, "<u4")
 
 
 def _tokenizer(data: str):
@@ -242,43 +258,132 @@ def _tokenizer(data: str):
     return made
 
 
+#: Between the workers and the coder: first what comes before the blocks (documents, and ids of all),
+#: without digits and left as it is; then the blocks.
+CODED = "documents long, ids long, digits int, crc long, data binary"
+LISTED = "part long, file string, documents long, ids long"
+
+
+def _coded(spark: SparkSession, rows: DataFrame, decode: bool) -> DataFrame:
+    """`data` of the rows with digits as words, or as ids again."""
+    ids = F.col("ids").cast("int") if decode else F.lit(None).cast("int")
+    coder = jvm.function(spark, "IdBlocks")
+    return rows.withColumn("data", coder(F.col("data"), F.col("digits"), ids))
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    names, types = zip(*(f.split() for f in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows), types)], list(names))
+
+
+def _batches(rows: Iterator[tuple], schema: str, size: int = 256) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, size)):
+        yield _batch(some, schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+def _blocks(doc_ids: list[int | None], texts: list[bytes]) -> Iterator[tuple]:
+    """Rows of CODED for the ids of texts."""
+    lengths, ids = [len(t) // 4 for t in texts], np.frombuffer(b"".join(texts), "<u4")
+    yield len(lengths), len(ids), 0, 0, header(doc_ids, lengths)
+    for at in range(0, len(ids), BLOCK * LANES):
+        some = ids[at:at + BLOCK * LANES]
+        digits = 4 if some.max() < 1 << 16 else 8
+        for i in range(0, len(some), BLOCK):
+            data = some[i:i + BLOCK].tobytes()
+            yield None, len(data) // 4, digits, zlib.crc32(data), data
+
+
+def _packed(_, ids: int, digits: int, crc: int, words: bytes) -> bytes:
+    return BLOCK_HEAD.pack(ids, digits, len(words) // 2, crc) + words
+
+
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Write token files below `folder`; returns the stored list of files in order, with counts."""
+    spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as source:
-        shared = docs.sparkSession.sparkContext.broadcast(source.read())
+        data = source.read()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     chars = rows.agg(F.coalesce(F.sum(F.length("text") + 64), F.lit(0))).first()[0]
     files_wanted = max(1, -(-chars // FILE_CHARS))
     dealt = rows.repartitionByRange(files_wanted, "doc_id", F.xxhash64("text")).sortWithinPartitions(
         "doc_id", F.xxhash64("text"))
+    tables = byte_level.tables(data, end_id)
+    if tables is None:
+        shared = spark.sparkContext.broadcast(data)
+    else:
+        dealt = dealt.select("doc_id", jvm.function(spark, "TextIds", tables)(F.col("text").cast("binary")).alias("ids"))
+
+    ready = tables is not None      # the workers need no tables
+
+    def tokenized(texts: pa.Array) -> list[bytes]:
+        if ready:
+            return texts.to_pylist()
+        coder = _tokenizer(shared.value)
+        return [np.array([*x.ids, end_id], "<u4").tobytes() for at in range(0, len(texts), 256)
+                for x in coder.encode_batch(texts.slice(at, 256).to_pylist(), add_special_tokens=False)]
+
+    def cut(batches):
+        doc_ids, texts = [], []
+        for batch in batches:
+            doc_ids += batch.column(0).to_pylist()
+            texts += tokenized(batch.column(1))
+        if texts:
+            yield from _batches(_blocks(doc_ids, texts), CODED)
 
-    def run(batches):
+    def put(batches):
         from pyarrow.fs import FileSystem
         from pyspark import TaskContext
 
-        coder, doc_ids, texts = _tokenizer(shared.value), [], []
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                doc_ids += some.column("doc_id").to_pylist()
-                texts += [np.array([*x.ids, end_id], "<u4") for x in coder.encode_batch(
-                    some.column("text").to_pylist(), add_special_tokens=False)]
-        if texts:
+        rows = _rows(batches)
+        for documents, ids, _, _, before in rows:
             files, base = FileSystem.from_uri(folder)
             name = f"{uuid.uuid4().hex}.cmid"
             with files.open_output_stream(f"{base}/{name}", compression=None) as sink:
-                write_file(sink, doc_ids, texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in (TaskContext.get().partitionId(), name, len(texts), sum(map(len, texts)))],
-                ["part", "file", "documents", "ids"])
+                sink.write(before)
+                for row in rows:
+                    sink.write(_packed(*row))
+            yield _batch([(TaskContext.get().partitionId(), name, documents, ids)], LISTED)
 
     from pyarrow.fs import FileSystem
 
     files, base = FileSystem.from_uri(folder)
     files.create_dir(base, recursive=True)
-    return stored(dealt.mapInArrow(run, "part long, file string, documents long, ids long"))
+    return stored(_coded(spark, dealt.mapInArrow(cut, CODED), False).mapInArrow(put, LISTED))
+
+
+def _stored_blocks(source, start: int) -> Iterator[tuple]:
+    """Rows of `start` and CODED for a file."""
+    before = source.read(HEAD.size)
+    _, _, documents, blocks, size, _ = HEAD.unpack(before)
+    yield start, documents, None, 0, 0, before + source.read(size)
+    for _ in range(blocks):
+        n, digits, words, crc = BLOCK_HEAD.unpack(source.read(BLOCK_HEAD.size))
+        if digits not in (4, 8) or n > BLOCK:
+            raise ValueError("not a token file, or a damaged one")
+        yield start, None, n, digits, crc, source.read(2 * words)
+
+
+def _checked(rows: Iterator[tuple], blocks: int) -> Iterator[bytes]:
+    for _, _, _, digits, crc, ids in islice(rows, blocks):
+        if not digits or zlib.crc32(ids) != crc:
+            raise ValueError("a block does not agree with its checksum")
+        yield ids
+
+
+def _documents(rows: Iterator[tuple], digest_only: bool) -> Iterator[tuple]:
+    for start, _, _, _, _, before in rows:
+        doc_ids, lengths, blocks = read_header(io.BytesIO(before))
+        for doc_id, ids in split(doc_ids, lengths, _checked(rows, blocks)):
+            yield doc_id, start, len(ids) // 4, zlib.crc32(ids) if digest_only else bytes(ids)
+            start += len(ids) // 4
 
 
 def read(files: DataFrame, folder: str, digest_only: bool = True) -> DataFrame:
@@ -286,34 +391,23 @@ def read(files: DataFrame, folder: str, digest_only: bool = True) -> DataFrame:
     # One row per file: their number is the number of writing tasks.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("part", "file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
-    last = pa.int64() if digest_only else pa.binary()
+    made = f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digest_only else 'ids binary'}"
+    schema = f"start long, {CODED}"
 
-    def run(batches):
+    def get(batches):
         from pyarrow.fs import FileSystem
 
         disk, base = FileSystem.from_uri(folder)
-        for batch in batches:
-            for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist()):
-                with disk.open_input_stream(f"{base}/{name}", compression=None) as source:
-                    out = []
-                    for doc_id, ids in read_file(source):
-                        out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()) if digest_only else ids.tobytes()))
-                        start += len(ids)
-                        if len(out) == 1000:
-                            yield _rows(out, last)
-                            out = []
-                    if out:
-                        yield _rows(out, last)
-
-    count = max(1, files.count())
-    name = "ids_crc32 long" if digest_only else "ids binary"
-    return placed.repartition(count, "part").mapInArrow(run, f"doc_id long, start long, n_tokens long, {name}")
-
-
-def _rows(out, last):
-    kinds = (pa.int64(), pa.int64(), pa.int64(), last)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                      ["doc_id", "start", "n_tokens", "ids_crc32" if last == pa.int64() else "ids"])
+        for _, name, start in _rows(batches):
+            with disk.open_input_stream(f"{base}/{name}", compression=None) as source:
+                yield from _batches(_stored_blocks(source, start), schema)
+
+    def join(batches):
+        yield from _batches(_documents(_rows(batches), digest_only), made, 1000)
+
+    # In rounds, not by a key: as many tasks as files get one each.
+    dealt = placed.repartition(max(1, files.count()))
+    return _coded(files.sparkSession, dealt.mapInArrow(get, schema), True).mapInArrow(join, made)
 
 
 def round_trip(docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "doc_id",
